@@ -293,3 +293,34 @@ ORACLES["top_topics"] = f"""
 with {SCORED}
 select topic_id, topic_signature, topic_volume, narrative_signal_score, array_to_string(keywords, ' ') as top_keywords
 from scored order by narrative_signal_score desc, first_pos limit 5"""
+
+CLUSTERS = """
+points as (
+  select vec_id as id, [list_avg(embedding[1:13]::double[]), list_avg(embedding[14:26]::double[]),
+    list_avg(embedding[27:39]::double[]), list_avg(embedding[40:52]::double[]),
+    list_avg(embedding[53:64]::double[])] as vector
+  from embeddings),
+near as (
+  select a.id as a, b.id as b from points a cross join points b
+  where list_distance(a.vector, b.vector) <= 0.026),
+core as (select a as id from near group by a having count(*) >= 3),
+edges as (select a, b from near where a in (from core) and b in (from core)),
+reached(id, root) as (
+  select id, id from core
+  union
+  select e.b, r.root from reached r join edges e on e.a = r.id where r.root < e.b),
+roots as (select id, min(root) as root from reached group by id),
+sizes as (select root, count(*) as size from roots group by root having count(*) >= 3),
+topic_ids as (select root, row_number() over (order by size desc, root) - 1 as topic_id from sizes),
+assigned as (
+  select p.id, cast(coalesce(t.topic_id, -1) as int) as topic_id
+  from points p left join roots r using (id) left join topic_ids t using (root))"""
+
+ORACLES["density_topics"] = f"with recursive {CLUSTERS} select id, topic_id from assigned"
+
+ORACLES["cluster_statistics"] = f"""
+with recursive {CLUSTERS}
+select count(*) as n_items, count(distinct topic_id) filter (topic_id <> -1) as n_topics,
+  count(*) filter (topic_id = -1) as noise_count,
+  round(count(*) filter (topic_id = -1) / count(*), 9) as noise_ratio, false as degraded
+from assigned"""

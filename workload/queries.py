@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text, times, url
 from newsloom.lineage import stored
-from newsloom.operators import collect, dedupe, keywords, scoring, topics
+from newsloom.operators import collect, dedupe, density, keywords, scoring, topics
 from newsloom.sources.suffixes import suffix_rules
 from workload.items import as_of, entries, items, table
 
@@ -232,3 +232,34 @@ def top_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "topic_id", "topic_signature", "topic_volume", "narrative_signal_score",
         F.array_join("top_keywords", " ").alias("top_keywords"),
     )
+
+
+# Clusters -------------------------------------------------------------------
+
+EPS, MIN_SAMPLES, MIN_CLUSTER_SIZE, DIMS = 0.026, 3, 3, 5
+
+
+def block_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings reduced to five dimensions, the means of 13 values each."""
+    values = F.col("embedding").cast("array<double>")
+
+    def mean(i: int) -> Column:
+        block = F.slice(values, 13 * i + 1, 13)
+        return F.aggregate(block, F.lit(0.0), lambda total, v: total + v) / F.size(block)
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return vectors.select(F.col("vec_id").alias("id"), F.array(*[mean(i) for i in range(DIMS)]).alias("vector"))
+
+
+@query
+def density_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = block_means(spark, sf_dir)
+    return density.density_clusters(vectors, EPS, MIN_SAMPLES, MIN_CLUSTER_SIZE, DIMS)
+
+
+@query
+def cluster_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = block_means(spark, sf_dir)
+    assigned = density.density_clusters(vectors, EPS, MIN_SAMPLES, MIN_CLUSTER_SIZE, DIMS)
+    stats = density.cluster_stats(assigned)
+    return stats.withColumn("noise_ratio", F.round("noise_ratio", 9))
