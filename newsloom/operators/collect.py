@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions import times
+from newsloom.functions import text, times, url
 
 # Default limits of one run.
 MAX_ITEMS_PER_FEED = 50
@@ -37,3 +37,70 @@ def within_lookback(entries: DataFrame, as_of: Column, days: int = LOOKBACK_DAYS
 def items_per_feed(items: DataFrame) -> DataFrame:
     """Number of items per feed."""
     return items.groupBy("source_name").agg(F.count("*").alias("n_items"))
+
+
+def publisher_name(source_title: Column, author: Column, feed_title: Column, canonical_url: Column) -> Column:
+    """Displayed publisher: entry source, author, feed title, else the host."""
+    candidates = [F.nullif(c, F.lit("")) for c in (source_title, author, feed_title)]
+    return F.coalesce(*candidates, url.netloc(canonical_url))
+
+
+def collect_items(
+    entries: DataFrame,
+    feeds: DataFrame,
+    suffixes: DataFrame,
+    run_id: str,
+    fetched_at: Column,
+    as_of: Column,
+    max_items: int | None = MAX_ITEMS_PER_FEED,
+    lookback_days: int | None = LOOKBACK_DAYS,
+) -> DataFrame:
+    """Item rows of a run from feed entries (see ``newsloom.sources.feeds``).
+
+    ``feeds`` is the registry: ``feed_order`` plus the columns of
+    ``newsloom.schemas.FEEDS``. The result has ``seq``, the order of feeds in the
+    registry and of entries in their feed, besides the item columns.
+    """
+    registry = feeds.select(
+        F.col("name").alias("feed"), "feed_order", F.coalesce("weight", F.lit(1.0)).alias("source_weight"),
+        "category", "market", F.coalesce(F.nullif("language", F.lit("")), F.lit("en")).alias("language"),
+    )
+    if max_items is not None:
+        entries = entries.filter(F.col("pos") < max_items)
+    dated = with_required_fields(entries).withColumn(
+        "published_at", F.coalesce(times.parse_feed_date(F.col("published")), fetched_at)
+    )
+    if lookback_days is not None:
+        dated = within_lookback(dated, as_of, lookback_days)
+    has_summary = F.col("summary") != ""
+    filled = dated.join(registry, "feed").withColumns(
+        {
+            "canonical_url": url.normalize_url(F.col("link")),
+            "has_summary": has_summary,
+            "summary": F.when(has_summary, F.col("summary")).otherwise(F.col("title")),
+        }
+    )
+    located = url.with_registered_domain(filled, "canonical_url", suffixes, "publisher_domain")
+    feed_title = F.coalesce("feed_title", "feed")
+    publisher = publisher_name(F.col("source_title"), F.col("author"), feed_title, F.col("canonical_url"))
+    return located.select(
+        (F.col("feed_order").cast("bigint") * F.lit(1 << 32) + F.col("pos")).alias("seq"),
+        text.url_hash(F.col("canonical_url")).alias("item_id"),
+        F.lit(run_id).alias("run_id"),
+        "canonical_url",
+        "publisher_domain",
+        "published_at",
+        fetched_at.alias("fetched_at"),
+        F.col("feed").alias("source_name"),
+        "source_weight",
+        "title",
+        "summary",
+        "has_summary",
+        text.text_length(F.col("title"), F.col("summary")).alias("text_len"),
+        text.content_hash(F.col("title"), F.col("summary")).alias("content_hash"),
+        F.lit(-1).alias("topic_id"),
+        F.lit("").alias("topic_signature"),
+        F.struct(
+            publisher.alias("publisher_name"), "category", "market", "language", F.col("link").alias("original_link")
+        ).alias("json_payload"),
+    )

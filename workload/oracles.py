@@ -324,3 +324,149 @@ select count(*) as n_items, count(distinct topic_id) filter (topic_id <> -1) as
   count(*) filter (topic_id = -1) as noise_count,
   round(count(*) filter (topic_id = -1) / count(*), 9) as noise_ratio, false as degraded
 from assigned"""
+
+LINES = f"""{ENTRIES},
+lines as (
+  select d.doc_id, d.source, e.published_at, unnest(string_split(d.text, chr(10))) as line,
+    generate_subscripts(string_split(d.text, chr(10)), 1) - 1 as i, len(string_split(d.text, chr(10))) as n_lines
+  from documents d join entries e on e.seq = d.doc_id),
+read as (
+  select *, {strip("line")} as title, 'https://www.example.co.uk/' || doc_id || '/' || i || '?b=2' as canonical_url,
+    doc_id % 2 = 1 or i % 2 = 0 as has_summary
+  from lines where not (doc_id % 5 = 0 and i = n_lines - 1))"""
+
+ORACLES["feed_scan"] = f"""
+with {LINES},
+filled as (select *, case when has_summary then 'line ' || i else title end as summary from read where title <> '')
+select substr(sha256(canonical_url), 1, 16) as item_id, canonical_url, 'example.co.uk' as publisher_domain,
+  source as source_name, 1.0::double as source_weight, title, summary, has_summary,
+  cast(length(title) + length(summary) as int) as text_len,
+  {iso("date_trunc('second', published_at)")} as published_at,
+  case when doc_id % 2 = 0 then source else 'writer ' || (doc_id % 7) end as publisher_name, 'en' as language
+from filled"""
+
+ORACLES["unreadable_feeds"] = """
+select doc_id, source as feed from documents where doc_id % 5 = 0 and len(string_split(text, chr(10))) = 1"""
+
+
+def signature(label: str) -> str:
+    return f"""sha256('{{"kw": ["topic' || {label} || '"], "pub": []}}')"""
+
+
+RUN_ITEMS = f"""{DEDUPED},
+run_items as (
+  select * exclude (run_id), source_name as run_id, {signature("topic_id")} as topic_signature,
+    published_at < timestamp '2024-01-16 00:00:00' as early
+  from kept)"""
+
+
+def runs_of(name: str, where: str, status: str) -> str:
+    return f"""
+{name} as (
+  select run_id, max(published_at) as generated_at, cast(7 as int) as lookback_days,
+    substr(sha256('{{"dedupe_strategy": "url_then_hash", "lookback_days": 7}}'), 1, 16) as config_hash,
+    '{status}' as status, count(*) as fetched_count, nullif(count(*) filter (not has_summary), 0) as without_summary
+  from run_items where {where} group by run_id)"""
+
+
+def topics_of(name: str, where: str) -> str:
+    return f"""
+{name}_stats as (
+  select run_id, topic_id, count(*) as topic_volume, count(distinct publisher_domain) as unique_domains,
+    avg(source_weight) as avg_source_weight, max(published_at) as last_seen_at
+  from run_items where topic_id <> -1 and {where} group by 1, 2),
+{name} as (
+  select run_id, {signature("topic_id")} as topic_signature, topic_id, topic_volume, unique_domains,
+    round(0.25 * least(100, 20 * log10(topic_volume + 1) + 20)
+      + 0.35 * least(100, 100 * exp(-(epoch_us(timestamp '2024-01-31 00:00:00') - epoch_us(last_seen_at)) / 3.6e9 / 24))
+      + 0.30 * least(100, 60 * avg_source_weight
+        + case when unique_domains > 1 then least(40, 15 * log10(unique_domains) + 15) else 0 end), 2)
+      as narrative_signal_score
+  from {name}_stats)"""
+
+
+def buckets_of(name: str, ts: str) -> str:
+    return f"""
+{name} as (
+  select run_id, {signature("topic_id")} as topic_signature, date_trunc('day', {ts}) as bucket_start, count(*) as n
+  from run_items where topic_id <> -1 group by 1, 2, 3)"""
+
+
+BUCKET_START = iso("cast(bucket_start as timestamp)")
+
+ORACLES["upserted_runs"] = f"""
+with {RUN_ITEMS},{runs_of("before", "early", "running")},{runs_of("after", "not early", "completed")}
+select run_id, {iso("coalesce(b.generated_at, a.generated_at)")} as generated_at,
+  coalesce(b.lookback_days, a.lookback_days) as lookback_days, coalesce(b.config_hash, a.config_hash) as config_hash,
+  coalesce(a.status, b.status) as status, coalesce(a.fetched_count, b.fetched_count) as fetched_count,
+  case when a.status is null then b.without_summary else a.without_summary end as without_summary
+from before b full outer join after a using (run_id)"""
+
+ORACLES["inserted_items"] = f"""
+with {RUN_ITEMS}
+select run_id, item_id, case when early then title else 'again: ' || title end as title from run_items"""
+
+ORACLES["upserted_topics"] = f"""
+with {RUN_ITEMS},{topics_of("before", "early")},{topics_of("after", "not early")}
+select run_id, topic_signature, coalesce(b.topic_id, a.topic_id) as topic_id,
+  coalesce(a.topic_volume, b.topic_volume) as topic_volume,
+  coalesce(b.unique_domains, a.unique_domains) as unique_domains,
+  coalesce(a.narrative_signal_score, b.narrative_signal_score) as narrative_signal_score
+from before b full outer join after a using (run_id, topic_signature)"""
+
+ORACLES["upserted_buckets"] = f"""
+with {RUN_ITEMS},{buckets_of("before", "published_at")},{buckets_of("after", "published_at + interval 10 day")}
+select run_id, topic_signature, {BUCKET_START} as bucket_start, coalesce(a.n, b.n) as n
+from before b full outer join after a using (run_id, topic_signature, bucket_start)"""
+
+ORACLES["purged_items"] = f"""
+with {RUN_ITEMS}
+select run_id, item_id, topic_id from run_items
+where run_id not in (select run_id from run_items where source_weight < 0.6)"""
+
+ORACLES["orphan_buckets"] = f"""
+with {RUN_ITEMS},{topics_of("parents", "early")},{buckets_of("children", "published_at")}
+select run_id, topic_signature, {BUCKET_START} as bucket_start, n
+from children anti join parents using (run_id, topic_signature)"""
+
+ORACLES["latest_runs"] = f"""
+with {RUN_ITEMS},{runs_of("runs", "true", "completed")}
+select run_id, status, {iso("generated_at")} as generated_at
+from (select * from runs order by generated_at desc, run_id limit 5)"""
+
+ORACLES["items_per_run"] = f"""
+with {RUN_ITEMS}
+select run_id, count(*) as item_count from run_items group by run_id"""
+
+ORACLES["best_topics"] = f"""
+with {RUN_ITEMS},{topics_of("found", "true")}
+select run_id, topic_signature, topic_volume, narrative_signal_score from found
+order by narrative_signal_score desc, run_id, topic_signature limit 10"""
+
+ORACLES["bucket_summary"] = f"""
+with {RUN_ITEMS},{buckets_of("buckets", "published_at")}
+select run_id, count(distinct topic_signature) as topic_count, count(*) as bucket_count from buckets group by run_id"""
+
+ORACLES["topic_history"] = f"""
+with {RUN_ITEMS},{topics_of("found", "true")}
+select run_id, topic_volume, narrative_signal_score from found where topic_signature = {signature("'3'")}"""
+
+ORACLES["items_published"] = f"""
+with {RUN_ITEMS}
+select run_id, item_id, {iso("published_at")} as published_at from run_items
+where published_at >= timestamp '2024-01-10' and published_at < timestamp '2024-01-12'"""
+
+ORACLES["run_statistics"] = f"""
+with {DEDUPED}
+select (select count(*) from items) as fetched_count, count(*) as deduped_count,
+  count(distinct topic_id) filter (topic_id <> -1) as topic_count,
+  round(count(*) filter (topic_id = -1) / count(*), 9) as noise_ratio,
+  round(count(*) filter (topic_id <> -1 and not has_summary) / count(*) filter (topic_id <> -1), 9)
+    as missing_summary_ratio
+from kept"""
+
+ORACLES["run_summary"] = f"""
+with {SCORED}
+select topic_id, format('{{:.1f}}', narrative_signal_score) as score, topic_volume,
+  array_to_string(keywords[1:5], ', ') as keywords
+from scored order by narrative_signal_score desc, first_pos limit 5"""

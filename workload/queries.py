@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text, times, url
 from newsloom.lineage import stored
-from newsloom.operators import collect, dedupe, density, keywords, scoring, topics
+from newsloom.operators import cluster, collect, dedupe, density, keywords, scoring, topics, upsert
+from newsloom.plans import reports
+from newsloom.schemas import KEYS, REPLACED
+from newsloom.sources import feeds
 from newsloom.sources.suffixes import suffix_rules
 from workload.items import as_of, entries, items, table
 
@@ -237,6 +240,7 @@ def top_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Clusters -------------------------------------------------------------------
 
 EPS, MIN_SAMPLES, MIN_CLUSTER_SIZE, DIMS = 0.026, 3, 3, 5
+TEXT_EPS = 0.05
 
 
 def block_means(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,3 +267,239 @@ def cluster_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned = density.density_clusters(vectors, EPS, MIN_SAMPLES, MIN_CLUSTER_SIZE, DIMS)
     stats = density.cluster_stats(assigned)
     return stats.withColumn("noise_ratio", F.round("noise_ratio", 9))
+
+
+@query
+def text_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics of the items' texts: TF-IDF vectors, principal components, density."""
+    kept = kept_items(spark, sf_dir).drop("topic_id")
+    settings = cluster.ClusterSettings(min_topic_size=10, eps=TEXT_EPS)
+    clustered, _ = cluster.cluster_items(kept, settings, noise_handling="keep")
+    return clustered.select("seq", "item_id", "topic_id")
+
+
+# Feeds ----------------------------------------------------------------------
+
+
+def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed document per row of ``documents``, one entry per line of its text.
+
+    Even documents are RSS and odd ones Atom. Of every fifth the end is missing,
+    from inside its last entry on.
+    """
+    documents = table(spark, sf_dir, "documents").join(
+        entries(spark, sf_dir).select(F.col("seq").alias("doc_id"), "published_at"), "doc_id"
+    )
+    wall = times.utc_wall(F.col("published_at"))
+
+    def escaped(value: Column) -> Column:
+        for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            value = F.replace(value, F.lit(plain), F.lit(entity))
+        return value
+
+    def address(i: Column) -> Column:
+        return F.concat(F.lit("HTTPS://www.Example.co.uk/"), "doc_id", F.lit("/"), i, F.lit("?utm_source=x&amp;b=2#top"))
+
+    def rss(line: Column, i: Column) -> Column:
+        about = F.when(i % 2 == 0, F.concat(F.lit("<description>line "), i, F.lit("</description>"))).otherwise("")
+        return F.concat(
+            F.lit("<item><title>"), escaped(line), F.lit("</title><link>"), address(i), F.lit("</link>"), about,
+            F.lit("<pubDate>Mon, "), F.date_format(wall, "dd MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate></item>"),
+        )
+
+    def atom(line: Column, i: Column) -> Column:
+        return F.concat(
+            F.lit('<entry><title type="text">'), escaped(line), F.lit('</title><link rel="alternate" href="'), address(i),
+            F.lit('"/><summary>line '), i, F.lit("</summary><updated>"), F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"),
+            F.lit("Z</updated><author><name>writer "), F.col("doc_id") % 7, F.lit("</name></author></entry>"),
+        )
+
+    lines = F.split("text", "\n")
+    whole = F.when(
+        F.col("doc_id") % 2 == 0,
+        F.concat(
+            F.lit("<rss><channel><title>"), "source", F.lit("</title>"), F.array_join(F.transform(lines, rss), "\n"),
+            F.lit("</channel></rss>"),
+        ),
+    ).otherwise(
+        F.concat(
+            F.lit("<feed><title>"), "source", F.lit("</title>"), F.array_join(F.transform(lines, atom), "\n"),
+            F.lit("</feed>"),
+        )
+    )
+    cut = F.regexp_replace(whole, r"</(?:item></channel></rss|entry></feed)>$", "")
+    value = F.when(F.col("doc_id") % 5 == 0, cut).otherwise(whole)
+    return documents.select("doc_id", F.col("source").alias("feed"), value.alias("value"))
+
+
+@query
+def feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed documents parsed, broken ones recovered, entries turned into items."""
+    documents = feed_documents(spark, sf_dir)
+    registry = (
+        table(spark, sf_dir, "documents")
+        .select(F.col("source").alias("name"))
+        .distinct()
+        .select(
+            "name", F.substring("name", 4, 10).cast("int").alias("feed_order"), F.lit(None).cast("double").alias("weight"),
+            F.lit("news").alias("category"), F.lit(None).cast("string").alias("market"), F.lit("").alias("language"),
+        )
+    )
+    found = collect.collect_items(
+        feeds.feed_entries(documents), registry, suffix_rules(spark), "run-1", as_of(), as_of(), None, None
+    )
+    return found.select(
+        "item_id", "canonical_url", "publisher_domain", "source_name", "source_weight", "title", "summary", "has_summary",
+        "text_len", shown("published_at").alias("published_at"), "json_payload.publisher_name", "json_payload.language",
+    )
+
+
+@query
+def unreadable_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed documents from which nothing could be read."""
+    return feeds.unreadable_documents(feed_documents(spark, sf_dir)).select("doc_id", "feed")
+
+
+# Stored runs ----------------------------------------------------------------
+
+SIGNATURE = text.topic_signature
+
+
+def run_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept items, each feed being one run, with a signature per topic label."""
+    kept = dedupe.deduplicate(items(spark, sf_dir))
+    label = F.concat(F.lit("topic"), "topic_id")
+    return kept.withColumns(
+        {"run_id": F.col("source_name"), "topic_signature": SIGNATURE(F.array(label), F.array().cast("array<string>"))}
+    )
+
+
+def is_early() -> Column:
+    """Published in the first half of the month: what an earlier write brought."""
+    return F.col("published_at") < F.lit("2024-01-16T00:00:00+00:00").cast("timestamp")
+
+
+def runs_of(found: DataFrame, status: str) -> DataFrame:
+    settings = {"lookback_days": 7, "dedupe_strategy": "url_then_hash", "output_dir": "ignored"}
+    return found.groupBy("run_id").agg(
+        F.max("published_at").alias("generated_at"),
+        F.lit(7).alias("lookback_days"),
+        text.config_hash(settings).alias("config_hash"),
+        F.lit(status).alias("status"),
+        F.count("*").alias("fetched_count"),
+        F.nullif(F.count_if(~F.col("has_summary")), F.lit(0)).alias("without_summary"),
+    )
+
+
+def topics_of(found: DataFrame) -> DataFrame:
+    label = F.concat(F.lit("topic"), "topic_id")
+    scored = scoring.score_topics(topics.topic_stats(found), as_of())
+    signed = scored.withColumn("topic_signature", SIGNATURE(F.array(label), F.array().cast("array<string>")))
+    return signed.select(
+        "run_id", "topic_signature", "topic_id", "topic_volume", "unique_domains", "narrative_signal_score"
+    )
+
+
+def buckets_of(found: DataFrame) -> DataFrame:
+    label = F.concat(F.lit("topic"), "topic_id")
+    return topics.bucket_counts(found).select(
+        "run_id",
+        SIGNATURE(F.array(label), F.array().cast("array<string>")).alias("topic_signature"),
+        times.bucket_instant(F.col("bucket_start")).alias("bucket_start"),
+        "count",
+    )
+
+
+@query
+def upserted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(run_items(spark, sf_dir), "items")
+    before, after = runs_of(found.filter(is_early()), "running"), runs_of(found.filter(~is_early()), "completed")
+    merged = upsert.merge_upsert(before, after, ["run_id"], ["status", "fetched_count", "without_summary"])
+    return merged.withColumn("generated_at", shown("generated_at"))
+
+
+@query
+def inserted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(run_items(spark, sf_dir).select("run_id", "item_id", "title", "published_at"), "items")
+    again = found.withColumn("title", F.concat(F.lit("again: "), "title"))
+    return upsert.insert_ignore(found.filter(is_early()), again, KEYS["items"]).select("run_id", "item_id", "title")
+
+
+@query
+def upserted_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(run_items(spark, sf_dir), "items")
+    before, after = topics_of(found.filter(is_early())), topics_of(found.filter(~is_early()))
+    return upsert.merge_upsert(before, after, KEYS["topics"], REPLACED["topics"])
+
+
+@query
+def upserted_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(run_items(spark, sf_dir), "items")
+    shifted = found.withColumn("published_at", F.col("published_at") + F.make_dt_interval(F.lit(10)))
+    merged = upsert.merge_upsert(buckets_of(found), buckets_of(shifted), KEYS["topic_buckets"], REPLACED["topic_buckets"])
+    return merged.select("run_id", "topic_signature", shown("bucket_start").alias("bucket_start"), F.col("count").alias("n"))
+
+
+@query
+def purged_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(run_items(spark, sf_dir), "items")
+    light = found.filter(F.col("source_weight") < 0.6).select("run_id").distinct()
+    return upsert.without_runs(found, light).select("run_id", "item_id", "topic_id")
+
+
+@query
+def orphan_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(run_items(spark, sf_dir), "items")
+    orphans = upsert.fk_violations(buckets_of(found), topics_of(found.filter(is_early())), KEYS["topics"])
+    return orphans.select("run_id", "topic_signature", shown("bucket_start").alias("bucket_start"), F.col("count").alias("n"))
+
+
+@query
+def latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = runs_of(run_items(spark, sf_dir), "completed")
+    return reports.latest_runs(runs).withColumn("generated_at", shown("generated_at"))
+
+
+@query
+def items_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.items_per_run(run_items(spark, sf_dir))
+
+
+@query
+def best_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(run_items(spark, sf_dir), "items")
+    return reports.best_topics(topics_of(found))
+
+
+@query
+def bucket_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.bucket_summary(buckets_of(run_items(spark, sf_dir)))
+
+
+@query
+def topic_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One signature over all runs."""
+    found = stored(run_items(spark, sf_dir), "items")
+    one = found.filter(F.col("topic_id") == 3).select(F.min("topic_signature")).first()[0]
+    return reports.topic_history(topics_of(found), one).select("run_id", "topic_volume", "narrative_signal_score")
+
+
+@query
+def items_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, end = [F.lit(f"2024-01-{day}T00:00:00+00:00").cast("timestamp") for day in ("10", "12")]
+    return reports.items_published(run_items(spark, sf_dir), first, end).select("run_id", "item_id", shown("published_at").alias("published_at"))
+
+
+@query
+def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fetched = stored(items(spark, sf_dir), "items")
+    survivors = stored(dedupe.survivors(fetched), "survivors")
+    kept = fetched.join(survivors.select("seq"), "seq")
+    final = topics.without_noise(kept)
+    stats = reports.run_statistics(dedupe.dedupe_stats(survivors), density.cluster_stats(kept), final)
+    return stats.withColumns({c: F.round(c, 9) for c in ("noise_ratio", "missing_summary_ratio")})
+
+
+@query
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.run_summary(scored_topics(spark, sf_dir))
