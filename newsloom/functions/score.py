@@ -29,7 +29,8 @@ def volume_score(volume: Column) -> Column:
 def velocity_score(last_seen: Column, as_of: Column) -> Column:
     """Exponential decay with the age of the newest item, 0 if never seen."""
     hours = (F.unix_micros(as_of) - F.unix_micros(last_seen)) / F.lit(3.6e9)
-    return F.coalesce(_clamp(F.exp(-hours / VELOCITY_DECAY_HOURS) * 100), F.lit(0.0))
+    decay = _clamp(F.exp(-hours / VELOCITY_DECAY_HOURS) * 100)
+    return F.when(last_seen.isNull(), F.lit(0.0)).otherwise(decay)
 
 
 def source_score(avg_source_weight: Column, unique_domains: Column) -> Column:

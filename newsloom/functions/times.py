@@ -28,22 +28,15 @@ _ISO8601 = (
 )
 
 
-def _epoch() -> Column:
-    return F.timestamp_seconds(F.lit(0))
-
-
-def _epoch_wall() -> Column:
-    return F.lit("1970-01-01").cast("timestamp_ntz")
-
-
 def utc_wall(ts: Column) -> Column:
     """The instant as a zone-less UTC wall-clock timestamp."""
-    return _epoch_wall() + (ts - _epoch())
+    seconds = (F.unix_micros(ts).cast("decimal(20,0)") / 1000000).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def from_utc_wall(wall: Column) -> Column:
     """The instant that a zone-less UTC wall-clock timestamp names."""
-    return _epoch() + (wall - _epoch_wall())
+    return F.concat(wall.cast("string"), F.lit("+00:00")).cast("timestamp")
 
 
 def to_utc(wall: Column, zone: str | None = None) -> Column:
@@ -55,7 +48,7 @@ def to_utc(wall: Column, zone: str | None = None) -> Column:
 
 def lookback_start(as_of: Column, days: int) -> Column:
     """The first instant inside a lookback of ``days`` before ``as_of``."""
-    return as_of - F.make_dt_interval(F.lit(days))
+    return F.timestamp_micros(F.unix_micros(as_of) - days * 86_400_000_000)
 
 
 def daily_bucket(ts: Column) -> Column:

@@ -23,10 +23,14 @@ def without_noise(items: DataFrame) -> DataFrame:
     return items.filter(F.col("topic_id") != NOISE)
 
 
-def handle_noise(items: DataFrame, noise_handling: str) -> DataFrame:
-    """``drop`` or ``keep`` the items that belong to no topic."""
+def check_noise_handling(noise_handling: str) -> None:
     if noise_handling not in ("drop", "keep"):
         raise ValueError(f"unknown noise handling {noise_handling!r}, expected 'drop' or 'keep'")
+
+
+def handle_noise(items: DataFrame, noise_handling: str) -> DataFrame:
+    """``drop`` or ``keep`` the items that belong to no topic."""
+    check_noise_handling(noise_handling)
     return without_noise(items) if noise_handling == "drop" else items
 
 

@@ -60,13 +60,12 @@ TOPIC_PAYLOAD = ("top_domains", "domain_counts", "score_breakdown")
 def mine_topics(
     items: DataFrame, as_of: Column, settings: RunSettings | None = None, vectors: DataFrame | None = None
 ) -> RunResult:
-    """Everything between collected items and stored tables.
+    """Everything between collected items, which should be stored, and the tables.
 
     Intermediate tables that several later steps read are written once to the
     shared folder; between them the plan stays lazy.
     """
     settings = settings or RunSettings()
-    items = stored(items, "fetched")
     survivors = stored(dedupe.survivors(items, settings.dedupe_strategy), "survivors")
     kept = stored(items.join(survivors.select("seq", "pos"), "seq"), "kept")
     clustered, cluster_stats = cluster.cluster_items(
@@ -136,7 +135,7 @@ def run(
     settings = settings or RunSettings()
     spark = items.sparkSession
     try:
-        items = stored(items, "collected")
+        items = stored(items.withColumn("run_id", F.lit(run_id)), "collected")
         if items.isEmpty():
             return None
         result = mine_topics(items, as_of, settings, vectors)

@@ -41,9 +41,10 @@ def export_run(items: DataFrame, topics: DataFrame, path: str) -> None:
     """
     _write_json(timestamps_as_text(items), f"{path}/items", "overwrite")
     topics = timestamps_as_text(topics)
-    ranked = F.struct((-F.col("narrative_signal_score")).alias("order"), "topic_id", F.struct(*topics.columns).alias("t"))
-    listed = F.transform(F.array_sort(F.collect_list(ranked)), lambda row: row["t"])
-    topics.agg(F.to_json(listed, {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(f"{path}/topics")
+    rendered = F.to_json(F.struct(*topics.columns), {"ignoreNullFields": "false"})
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("narrative_signal_score")).alias("order"), "topic_id", rendered.alias("topic"))))
+    array = F.concat(F.lit("["), F.array_join(F.transform(ranked, lambda row: row["topic"]), ", "), F.lit("]"))
+    topics.agg(array.alias("value")).write.mode("overwrite").text(f"{path}/topics")
 
 
 class RunStore:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,9 @@ def suffix_rules(spark: SparkSession, text: str | None = None) -> DataFrame:
     downloaded and every run sees the same rules. Private rules are left out.
     ``*.ck`` is the wildcard of ``ck`` and ``!www.ck`` the exception ``www.ck``;
     non-ASCII suffixes are listed in their ASCII form as well.
+
+    The rows enter the plan as Arrow data whose size Spark knows, so its own
+    broadcast threshold decides how they are joined.
     """
     lines = (text if text is not None else _bundled_list(spark)).split(PRIVATE_SECTION)[0].splitlines()
     rules = [line.split()[0].lower() for line in lines if line.strip() and not line.startswith("//")]
@@ -43,8 +47,10 @@ def suffix_rules(spark: SparkSession, text: str | None = None) -> DataFrame:
         suffix = rule.removeprefix("*.").removeprefix("!")
         for form in {suffix, _ascii_form(suffix)}:
             kinds.setdefault(form, set()).add(kind)
-    rows = [(s, "rule" in k, "wildcard" in k, "exception" in k) for s, k in kinds.items()]
-    return spark.createDataFrame(rows, "suffix string, is_rule boolean, is_wildcard boolean, is_exception boolean")
+    columns = {"suffix": list(kinds)}
+    for kind in ("rule", "wildcard", "exception"):
+        columns[f"is_{kind}"] = [kind in found for found in kinds.values()]
+    return spark.createDataFrame(pa.table(columns))
 
 
 def suffix_depth(rules: DataFrame) -> int:
