@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsloom.functions.binding import bound, matched_groups
+
 # Month names and the zone names of RFC 822, as UTC offsets.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 ZONES = {
@@ -110,32 +112,34 @@ def _offset(zone: Column) -> Column:
     return F.when(zone.rlike(r"^[+-]"), numeric).otherwise(named)
 
 
-def _instant(pattern: str, text: Column, order: str) -> Column:
-    """Assemble the pattern's groups; ``order`` names them by one letter each."""
-
-    def group(letter: str) -> Column:
-        return F.regexp_extract(text, pattern, order.index(letter) + 1)
+def _assembled(year: Column, month: Column, parts: Column, order: str) -> Column:
+    """The instant of matched date parts; ``order`` names them by one letter each."""
 
     def two(letter: str, default: str) -> Column:
-        found = group(letter)
+        found = parts[order.index(letter)]
         return F.when(found == "", F.lit(default)).otherwise(F.lpad(found, 2, "0"))
 
-    year, month = group("y"), two("m", "01")
-    if pattern == _RFC822:
-        short = F.when(year < "90", F.concat(F.lit("20"), year)).otherwise(F.concat(F.lit("19"), year))
-        year = F.when(F.length(year) == 2, short).otherwise(year)
-        position = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(group("m")))
-        month = F.lpad(position.cast("string"), 2, "0")
-    return F.when(
-        text.rlike(pattern),
-        F.concat(
-            year, F.lit("-"), month, F.lit("-"), two("d", "01"), F.lit("T"),
-            two("H", "00"), F.lit(":"), two("M", "00"), F.lit(":"), two("S", "00"), _offset(group("z")),
-        ).try_cast("timestamp"),
-    )
+    return F.concat(
+        year, F.lit("-"), month, F.lit("-"), two("d", "01"), F.lit("T"),
+        two("H", "00"), F.lit(":"), two("M", "00"), F.lit(":"), two("S", "00"), _offset(parts[order.index("z")]),
+    ).try_cast("timestamp")
+
+
+def _from_rfc822(parts: Column) -> Column:
+    short = parts[2]
+    century = F.when(F.length(short) == 4, F.lit("")).when(short < "90", F.lit("20")).otherwise(F.lit("19"))
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(parts[1])).cast("string")
+    return _assembled(F.concat(century, short), F.lpad(month, 2, "0"), parts, "dmyHMSz")
+
+
+def _from_iso8601(parts: Column) -> Column:
+    month = F.when(parts[1] == "", F.lit("01")).otherwise(parts[1])
+    return _assembled(parts[0], month, parts, "ymdHMSz")
 
 
 def parse_feed_date(text: Column) -> Column:
     """RFC 822 or ISO 8601 feed date to an instant in whole seconds; else null."""
     text = F.trim(text)
-    return F.coalesce(_instant(_RFC822, text, "dmyHMSz"), _instant(_ISO8601, text, "ymdHMSz"))
+    rfc822 = bound(matched_groups(text, _RFC822, 7), lambda p: F.when(F.size(p) == 7, _from_rfc822(p)))
+    iso8601 = bound(matched_groups(text, _ISO8601, 7), lambda p: F.when(F.size(p) == 7, _from_iso8601(p)))
+    return F.coalesce(rfc822, iso8601)

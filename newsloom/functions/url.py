@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions.binding import bound, matched_groups
+
 # Query parameters that only track where a reader came from.
 TRACKING_PARAMETERS = (
     "utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content",
@@ -18,12 +20,9 @@ PARAMETER_SCHEMES = (
 )
 
 # RFC 3986, appendix B: scheme, authority, path, query.
-_URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
-_SCHEME, _AUTHORITY, _PATH, _QUERY = 1, 2, 3, 4
-
-
-def _part(url: Column, group: int) -> Column:
-    return F.regexp_extract(url, _URL, group)
+_URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+_AUTHORITY = 2
+_CONTROLS_AND_BLANK = "".join(map(chr, range(0x21)))
 
 
 def _unquote(text: Column) -> Column:
@@ -40,21 +39,25 @@ def _clean_query(query: Column) -> Column:
         return F.struct(_unquote(name).alias("name"), _unquote(value).alias("value"))
 
     segments = F.filter(F.split(query, "&"), lambda s: s != "")
-    kept = F.filter(
+    parameters = F.filter(
         F.transform(segments, parameter),
         lambda p: ~F.lower(p["name"]).isin(*TRACKING_PARAMETERS),
     )
-    names = F.array_sort(F.array_distinct(F.transform(kept, lambda p: p["name"])))
-    rendered = F.transform(
-        names,
-        lambda n: F.concat(n, F.lit("="), F.get(F.filter(kept, lambda p: p["name"] == n), F.lit(0))["value"]),
-    )
-    return F.array_join(rendered, "&")
+
+    def rendered(kept: Column) -> Column:
+        names = F.array_sort(F.array_distinct(F.transform(kept, lambda p: p["name"])))
+        first = F.transform(
+            names,
+            lambda n: F.concat(n, F.lit("="), F.get(F.filter(kept, lambda p: p["name"] == n), F.lit(0))["value"]),
+        )
+        return F.array_join(first, "&")
+
+    return bound(parameters, rendered)
 
 
 def netloc(url: Column) -> Column:
     """Authority of a URL (user info, host and port), '' when there is none."""
-    return _part(url, _AUTHORITY)
+    return F.regexp_extract(url, _URL, _AUTHORITY)
 
 
 def normalize_url(url: Column, remove_params: bool = True) -> Column:
@@ -63,22 +66,25 @@ def normalize_url(url: Column, remove_params: bool = True) -> Column:
     With ``remove_params`` the surviving query parameters are decoded, reduced
     to their first value and sorted by name; without it the query stays as is.
     """
-    url = F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    scheme = F.lower(_part(url, _SCHEME))
-    authority = F.lower(_part(url, _AUTHORITY))
-    raw_path = _part(url, _PATH)
-    path = F.when(
-        raw_path.endswith(";") & scheme.isin(*PARAMETER_SCHEMES),
-        F.regexp_replace(raw_path, r"(?s)^((?:.*/)?[^/;]*);$", "$1"),
-    ).otherwise(raw_path)
-    raw_query = _part(url, _QUERY)
-    query = F.when(raw_query == "", F.lit("")).otherwise(_clean_query(raw_query)) if remove_params else raw_query
-    return F.concat(
-        F.when(scheme == "", F.lit("")).otherwise(F.concat(scheme, F.lit(":"))),
-        F.when(authority == "", F.lit("")).otherwise(F.concat(F.lit("//"), authority)),
-        path,
-        F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query)),
-    )
+    url = F.translate(F.ltrim(url, F.lit(_CONTROLS_AND_BLANK)), "\t\r\n", "")
+
+    def glued(parts: Column) -> Column:
+        scheme, authority, raw_path, raw_query = F.lower(parts[0]), F.lower(parts[1]), parts[2], parts[3]
+        path = F.when(
+            raw_path.endswith(";") & scheme.isin(*PARAMETER_SCHEMES),
+            F.regexp_replace(raw_path, r"(?s)^((?:.*/)?[^/;]*);$", "$1"),
+        ).otherwise(raw_path)
+        query = raw_query
+        if remove_params:
+            query = F.when(raw_query == "", F.lit("")).otherwise(_clean_query(raw_query))
+        return F.concat(
+            F.when(scheme == "", F.lit("")).otherwise(F.concat(scheme, F.lit(":"))),
+            F.when(authority == "", F.lit("")).otherwise(F.concat(F.lit("//"), authority)),
+            path,
+            bound(query, lambda q: F.when(q == "", F.lit("")).otherwise(F.concat(F.lit("?"), q))),
+        )
+
+    return bound(matched_groups(url, _URL, 4), glued)
 
 
 def host(url: Column) -> Column:
@@ -103,8 +109,10 @@ def with_registered_domain(df: DataFrame, url: str, suffixes: DataFrame, into: s
     A host without a listed suffix keeps an empty suffix after the dot, and a
     leading ``www.`` of the result is dropped.
     """
-    labels = F.split(F.col("_host"), r"[.\x{3002}\x{ff0e}\x{ff61}]")
-    looked_up = df.withColumn("_host", host(F.col(url)))
+    labels = F.col("_labels")
+    looked_up = df.withColumn("_host", host(F.col(url))).withColumn(
+        "_labels", F.split("_host", r"[.\x{3002}\x{ff0e}\x{ff61}]")
+    )
     for depth in range(1, max_labels + 1):
         ending = F.when(F.size(labels) >= depth, F.array_join(F.slice(labels, -depth, depth), "."))
         rules = suffixes.select(

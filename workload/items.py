@@ -7,12 +7,21 @@ gives the link, an event the time, and an embedding's label the topic.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import text, times, url
 from newsloom.sources.suffixes import suffix_rules
 
+# The columns of the given tables; naming them saves a look into the files.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
 RUN_ID = "run-1"
 AS_OF = "2024-01-31T00:00:00+00:00"
 
@@ -22,15 +31,21 @@ def as_of() -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def row_counts(*tables: DataFrame) -> list[int]:
+    """Sizes of several tables, from their file footers in one job."""
+    counts = [t.agg(F.lit(i).alias("i"), F.count("*").alias("n")) for i, t in enumerate(tables)]
+    return [row["n"] for row in sorted(reduce(DataFrame.union, counts).collect())]
 
 
 def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link, time and topic per document: joined on ids only, without any text."""
     documents, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
     events, vectors = table(spark, sf_dir, "events"), table(spark, sf_dir, "embeddings")
-    n_pages, n_vectors = pages.count(), vectors.count()
-    stride = events.count() // documents.count()
+    n_documents, n_pages, n_events, n_vectors = row_counts(documents, pages, events, vectors)
+    stride = n_events // n_documents
     keyed = documents.select(
         "doc_id",
         (F.col("doc_id") % n_pages).alias("page_id"),

@@ -287,7 +287,7 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     Even documents are RSS and odd ones Atom. Of every fifth the end is missing,
     from inside its last entry on.
     """
-    documents = table(spark, sf_dir, "documents").join(
+    documents = table(spark, sf_dir, "documents").hint("merge").join(
         entries(spark, sf_dir).select(F.col("seq").alias("doc_id"), "published_at"), "doc_id"
     )
     wall = times.utc_wall(F.col("published_at"))
@@ -335,7 +335,7 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed documents parsed, broken ones recovered, entries turned into items."""
-    documents = feed_documents(spark, sf_dir)
+    documents = stored(feed_documents(spark, sf_dir), "landed")
     registry = (
         table(spark, sf_dir, "documents")
         .select(F.col("source").alias("name"))
@@ -357,7 +357,8 @@ def feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def unreadable_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed documents from which nothing could be read."""
-    return feeds.unreadable_documents(feed_documents(spark, sf_dir)).select("doc_id", "feed")
+    landed = stored(feed_documents(spark, sf_dir), "landed")
+    return feeds.unreadable_documents(landed).select("doc_id", "feed")
 
 
 # Stored runs ----------------------------------------------------------------
