@@ -17,7 +17,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the least of its neighbourhood."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     linked = both.join(_neighbour_minimum(both), "a").filter(F.col("b") > F.col("a"))
-    return linked.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    return linked.select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

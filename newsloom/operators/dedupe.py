@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The one strategy there is.
 STRATEGIES = ("url_then_hash",)
+# What a survivor always carries, after the columns that rank it.
+RANKED = ("seq", "content_hash")
 
 
 def _check(strategy: str) -> None:
@@ -14,38 +18,46 @@ def _check(strategy: str) -> None:
         raise ValueError(f"unknown dedupe strategy {strategy!r}, expected one of {STRATEGIES}")
 
 
-def _best(order: str) -> Column:
-    """Greatest weight, then newest, then first in ``order``; carries seq and hash."""
-    return F.max(F.struct("source_weight", "published_at", (-F.col(order)).alias("early"), "seq", "content_hash"))
+def _best(order: str, carried: Sequence[str]) -> Column:
+    """Greatest weight, then newest, then first in ``order``; carries the rest along."""
+    early = (-F.col(order)).alias("early")
+    ranked = ("source_weight", "published_at", early, *RANKED)
+    return F.max(F.struct(*ranked, *[c for c in carried if c not in (*RANKED, *ranked[:2])])).alias("best")
 
 
-def survivors(items: DataFrame, strategy: str = "url_then_hash") -> DataFrame:
+def survivors(items: DataFrame, strategy: str = "url_then_hash", carried: Sequence[str] = ()) -> DataFrame:
     """Narrow result of the deduplication: one row per item that stays.
 
     Columns: ``seq`` of the survivor, ``pos`` (its place among the survivors),
-    ``n_items`` and ``n_urls`` (how many items and distinct URLs it stands for).
+    ``n_items`` and ``n_urls`` (how many items and distinct URLs it stands for),
+    and the ``carried`` columns of the survivor.
 
     ``items`` needs ``seq`` (unique, the input order), ``canonical_url``,
     ``content_hash``, ``source_weight`` and ``published_at``. Both phases are
-    grouped maxima over five short columns, combined before each shuffle, so a
-    URL or a text that a third of the items share sends one row per map task.
+    grouped maxima over short columns, combined before each shuffle, so a URL or
+    a text that a third of the items share sends one row per map task.
 
     A replaced item keeps the place of the first item with its key. The first
     place of a URL therefore decides ties between contents, and the first place
     of a content is the survivor's ``pos``.
     """
     _check(strategy)
+    always = ("source_weight", "published_at", *RANKED)
+    winner = [f"best.{c}" for c in (*always, *[c for c in carried if c not in always])]
     by_url = items.groupBy("canonical_url").agg(
-        _best("seq").alias("best"), F.min("seq").alias("pos"), F.count("*").alias("n_items")
+        _best("seq", carried), F.min("seq").alias("pos"), F.count("*").alias("n_items")
     )
-    by_url = by_url.select("best.source_weight", "best.published_at", "best.seq", "best.content_hash", "pos", "n_items")
-    by_hash = by_url.groupBy("content_hash").agg(
-        _best("pos").alias("best"),
-        F.min("pos").alias("pos"),
-        F.sum("n_items").alias("n_items"),
-        F.count("*").alias("n_urls"),
+    by_hash = (
+        by_url.select(*winner, "pos", "n_items")
+        .groupBy("content_hash")
+        .agg(
+            _best("pos", carried),
+            F.min("pos").alias("pos"),
+            F.sum("n_items").alias("n_items"),
+            F.count("*").alias("n_urls"),
+        )
     )
-    return by_hash.select("best.seq", "pos", "n_items", "n_urls")
+    return by_hash.select("best.seq", "pos", "n_items", "n_urls", *[f"best.{c}" for c in carried])
 
 
 def deduplicate(items: DataFrame, strategy: str = "url_then_hash") -> DataFrame:
@@ -57,6 +69,12 @@ def deduplicate(items: DataFrame, strategy: str = "url_then_hash") -> DataFrame:
     return items.join(survivors(items, strategy).select("seq", "pos"), "seq")
 
 
+def deduplicate_narrow(items: DataFrame, strategy: str = "url_then_hash") -> DataFrame:
+    """The same for rows without texts: they travel with the maxima, without a join."""
+    columns = [c for c in items.columns if c != "seq"]
+    return survivors(items, strategy, columns).select("seq", *columns, "pos")
+
+
 def dedupe_stats(kept: DataFrame) -> DataFrame:
     """One row of counts for the result of :func:`survivors`."""
     return kept.agg(

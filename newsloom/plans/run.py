@@ -19,7 +19,7 @@ from newsloom.sources.store import RunStore, export_run
 
 @dataclass(frozen=True)
 class RunSettings:
-    """What shapes a run. Defaults are the reference values of each option."""
+    """What shapes a run, with the documented default of each option."""
 
     lookback_days: int = collect.LOOKBACK_DAYS
     max_items_per_feed: int = collect.MAX_ITEMS_PER_FEED

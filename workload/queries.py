@@ -41,6 +41,11 @@ def kept_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(dedupe.deduplicate(items(spark, sf_dir)), "items")
 
 
+def narrow_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated items without their texts."""
+    return dedupe.deduplicate_narrow(items(spark, sf_dir).drop("title", "summary"))
+
+
 def scored_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = kept_items(spark, sf_dir)
     records = topics.topic_records(kept, keywords.topic_keywords(kept))
@@ -135,7 +140,7 @@ def dedupe_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def topic_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.topic_stats(kept_items(spark, sf_dir)).select(
+    return topics.topic_stats(stored(narrow_items(spark, sf_dir), "items")).select(
         "topic_id", "topic_volume", "unique_domains", F.round("avg_source_weight", 9).alias("avg_source_weight"),
         F.round("duplicate_ratio", 9).alias("duplicate_ratio"), "first_pos",
         shown("first_seen_at").alias("first_seen_at"), shown("last_seen_at").alias("last_seen_at"),
@@ -153,20 +158,20 @@ def duplicate_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = dedupe.deduplicate(items(spark, sf_dir))
+    kept = narrow_items(spark, sf_dir)
     return topics.bucket_counts(kept, "daily").select("topic_id", "bucket_start", F.col("count").alias("n"))
 
 
 @query
 def hourly_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = dedupe.deduplicate(items(spark, sf_dir))
+    kept = narrow_items(spark, sf_dir)
     return topics.bucket_counts(kept, "hourly").select("topic_id", "bucket_start", F.col("count").alias("n"))
 
 
 @query
 def top_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered domains are few in the tables, so whole hosts are ranked."""
-    kept = dedupe.deduplicate(items(spark, sf_dir))
+    kept = narrow_items(spark, sf_dir)
     hosts = kept.withColumn("publisher_domain", url.netloc(F.col("canonical_url")))
     return topics.ranked_domains(hosts).select("topic_id", "publisher_domain", "n", "rank")
 
@@ -366,9 +371,9 @@ def unreadable_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 SIGNATURE = text.topic_signature
 
 
-def run_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_items(spark: SparkSession, sf_dir: str, narrow: bool = True) -> DataFrame:
     """Kept items, each feed being one run, with a signature per topic label."""
-    kept = dedupe.deduplicate(items(spark, sf_dir))
+    kept = narrow_items(spark, sf_dir) if narrow else dedupe.deduplicate(items(spark, sf_dir))
     label = F.concat(F.lit("topic"), "topic_id")
     return kept.withColumns(
         {"run_id": F.col("source_name"), "topic_signature": SIGNATURE(F.array(label), F.array().cast("array<string>"))}
@@ -421,7 +426,8 @@ def upserted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def inserted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = stored(run_items(spark, sf_dir).select("run_id", "item_id", "title", "published_at"), "items")
+    found = run_items(spark, sf_dir, narrow=False).select("run_id", "item_id", "title", "published_at")
+    found = stored(found, "items")
     again = found.withColumn("title", F.concat(F.lit("again: "), "title"))
     return upsert.insert_ignore(found.filter(is_early()), again, KEYS["items"]).select("run_id", "item_id", "title")
 
@@ -493,7 +499,7 @@ def items_published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fetched = stored(items(spark, sf_dir), "items")
+    fetched = stored(items(spark, sf_dir).drop("title", "summary"), "items")
     survivors = stored(dedupe.survivors(fetched), "survivors")
     kept = fetched.join(survivors.select("seq"), "seq")
     final = topics.without_noise(kept)
