@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.binding import bound, matched_groups
+from newsloom.lineage import broadcast_if_small
 
 # Query parameters that only track where a reader came from.
 TRACKING_PARAMETERS = (
@@ -102,9 +103,9 @@ def with_registered_domain(df: DataFrame, url: str, suffixes: DataFrame, into: s
 
     ``suffixes`` comes from :func:`newsloom.sources.suffixes.suffix_rules`. The
     host's endings of one to ``max_labels`` labels are each looked up by a left
-    equi-join. The list has a few thousand short rows, far below Spark's
-    broadcast threshold, so no row of ``df`` is shuffled, however many of them
-    share one host.
+    equi-join. The list has a few thousand short rows of known size and is
+    broadcast, so no row of ``df`` is shuffled, however many of them share one
+    host or one suffix.
 
     A host without a listed suffix keeps an empty suffix after the dot, and a
     leading ``www.`` of the result is dropped.
@@ -113,6 +114,7 @@ def with_registered_domain(df: DataFrame, url: str, suffixes: DataFrame, into: s
     looked_up = df.withColumn("_host", host(F.col(url))).withColumn(
         "_labels", F.split("_host", r"[.\x{3002}\x{ff0e}\x{ff61}]")
     )
+    suffixes = broadcast_if_small(suffixes)
     for depth in range(1, max_labels + 1):
         ending = F.when(F.size(labels) >= depth, F.array_join(F.slice(labels, -depth, depth), "."))
         rules = suffixes.select(

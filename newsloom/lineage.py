@@ -1,4 +1,4 @@
-"""Cutting lineage: intermediate tables in the cluster's shared folder."""
+"""Physical hints: stored intermediate tables and size-checked broadcasts."""
 
 from __future__ import annotations
 
@@ -6,6 +6,21 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Lookup tables up to this estimated size are broadcast even where the session
+# has switched Spark's own threshold off.
+SMALL_BYTES = 16 << 20
+
+
+def broadcast_if_small(lookup: DataFrame) -> DataFrame:
+    """Mark a lookup table for broadcasting when the planner knows it is small.
+
+    The check costs no job. A table of unknown or larger size is left to the
+    planner, which then shuffles it or decides at run time.
+    """
+    size = lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(lookup) if int(str(size)) <= SMALL_BYTES else lookup
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

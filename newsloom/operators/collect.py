@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text, times, url
+from newsloom.lineage import broadcast_if_small
 
 # Default limits of one run.
 MAX_ITEMS_PER_FEED = 50
@@ -73,7 +74,7 @@ def collect_items(
     if lookback_days is not None:
         dated = within_lookback(dated, as_of, lookback_days)
     has_summary = F.col("summary") != ""
-    filled = dated.join(registry, "feed").withColumns(
+    filled = dated.join(broadcast_if_small(registry), "feed").withColumns(
         {
             "canonical_url": url.normalize_url(F.col("link")),
             "has_summary": has_summary,

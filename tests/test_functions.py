@@ -79,7 +79,10 @@ def test_registered_domain(spark):
     df = spark.createDataFrame([(u,) for u in expected], "u string")
     got = {r["u"]: r["d"] for r in url.with_registered_domain(df, "u", rules, "d").collect()}
     assert got == expected
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = url.with_registered_domain(df, "u", rules, "d")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
 
 
