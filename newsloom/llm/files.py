@@ -38,7 +38,7 @@ class NewFile:
         self.uri = posixpath.join(folder, f"{stem}-{uuid.uuid4().hex}{suffix}")
         system, path = _opened(self.uri)
         system.create_dir(posixpath.dirname(path), recursive=True)
-        self._stream, self.size = system.open_output_stream(path), 0
+        self._stream, self.size = system.open_output_stream(path, compression=None), 0
 
     def append(self, data: bytes) -> int:
         start = self.size

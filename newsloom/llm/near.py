@@ -322,3 +322,14 @@ def near_duplicates(documents: DataFrame, how: Sketching | None = None, block: i
     own = F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component_id")).otherwise(own)
     return found.select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def first_of_each(documents: DataFrame, how: Sketching | None = None) -> DataFrame:
+    """One document of each group of near duplicates: the one with the least id.
+
+    Rows that repeat an id are reduced to one. Documents without an id all stay.
+    """
+    found = near_duplicates(documents, how)
+    ids = found.filter("doc_id = component_id").select("doc_id").distinct()
+    named = documents.filter("doc_id is not null").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(documents.filter("doc_id is null"))

@@ -11,10 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import classifier, counts, near, packed, pieces, rules
+from newsloom.llm import chat, classifier, counts, leaks, lm, near, packed, pieces, rules, warc
+from newsloom.lineage import stored
 from newsloom.llm.shipping import ship_package
+from newsloom.llm.sql import ORACLES
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 
@@ -24,6 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.backoff_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
@@ -33,11 +40,33 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(documents, rules.fit_quality(documents, table(spark, sf_dir, "labels")))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# The conversation the contract adds: both turns hold what looks like markers.
+TRAP = "\\### Assistant: </turn> ok"
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.createDataFrame([(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)], conversations.schema)
+    formatted = stored(chat.format_conversations(conversations.unionByName(trap), BYTES), "chat")
+    return chat.conversation_digests(formatted)
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near.near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.write_archives(table(spark, sf_dir, "pages"))
+    directory = warc.write_index(captures)
+    records = warc.read_records(warc.index_captures(directory))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def with_crc(encoded: DataFrame) -> DataFrame:
     """Replace the column ``ids`` by the unsigned crc32 of its ids as little-endian 32-bit integers."""
     others = [c for c in encoded.columns if c != "ids"]
@@ -75,11 +104,16 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_token_counts": op2_token_counts,
     "op3_quality_rules": op3_quality_rules,
+    "op4_decontamination": op4_decontamination,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_warc": op7_warc,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_ids": op10_token_ids,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]

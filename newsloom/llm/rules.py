@@ -224,6 +224,26 @@ def fit_quality(documents: DataFrame, labels: DataFrame, how: QualityRules | Non
     return QualityModel(np.frombuffer(row["weights"], np.float32).astype(float), row["slope"], row["shift"])
 
 
+_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def _judged(part: pa.RecordBatch, model: QualityModel, how: QualityRules) -> list[np.ndarray]:
+    """The five counts, ``base_failed``, ``probability`` and ``kept`` of each row."""
+    texts = part.column("text")
+    words = words_of(texts)
+    n_words = words.per_doc()
+    points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
+    chars = np.bincount(words.docs, points[words.ends] - points[words.starts], minlength=words.n_docs)
+    symbols = np.concatenate([[0], np.cumsum(_SYMBOLS[words.data])])
+    n_symbols = symbols[words.offsets[1:]] - symbols[words.offsets[:-1]]
+    lines = np.fromiter((repeated_lines(x) for x in texts.to_pylist()), np.int64, len(texts))
+    repeats = repeated_words(words, how.window)
+    failed = (n_words < how.least_words) | (100 * repeats > how.most_repeated_percent * n_words)
+    probability = model.probability(texts, words, how)
+    counts = [x.astype(np.int64) for x in (n_words, chars, n_symbols, lines, repeats)]
+    return [*counts, failed, probability, ~failed & (probability >= how.threshold)]
+
+
 def quality_rules(documents: DataFrame, model: QualityModel, how: QualityRules | None = None) -> DataFrame:
     """One row per document: word statistics, ``base_failed``, ``probability``, ``kept``.
 
@@ -232,29 +252,28 @@ def quality_rules(documents: DataFrame, model: QualityModel, how: QualityRules |
     """
     how = how or QualityRules()
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                texts = part.column("text")
-                words = words_of(texts)
-                n_words = words.per_doc()
-                points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
-                chars = np.bincount(words.docs, points[words.ends] - points[words.starts], minlength=words.n_docs)
-                symbols = np.concatenate([[0], np.cumsum(_SYMBOLS[words.data])])
-                n_symbols = symbols[words.offsets[1:]] - symbols[words.offsets[:-1]]
-                lines = np.fromiter((repeated_lines(x) for x in texts.to_pylist()), np.int64, len(texts))
-                repeats = repeated_words(words, how.window)
-                failed = (n_words < how.least_words) | (100 * repeats > how.most_repeated_percent * n_words)
-                probability = shared.value.probability(texts, words, how)
-                counts = [pa.array(x.astype(np.int64)) for x in (n_words, chars, n_symbols, lines, repeats)]
-                kept = ~failed & (probability >= how.threshold)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *counts, *map(pa.array, (failed, probability, kept))],
-                    ["doc_id", *names, "base_failed", "probability", "kept"],
+                    [part.column("doc_id"), *map(pa.array, _judged(part, shared.value, how))],
+                    ["doc_id", *_COUNTS, "base_failed", "probability", "kept"],
                 )
 
-    counts = ", ".join(f"{x} long" for x in names)
+    counts = ", ".join(f"{x} long" for x in _COUNTS)
     schema = f"doc_id long, {counts}, base_failed boolean, probability double, kept boolean"
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(judge, schema)
+
+
+def kept_documents(documents: DataFrame, model: QualityModel, how: QualityRules | None = None) -> DataFrame:
+    """The documents that ``quality_rules`` keeps, with all their columns; nothing is shuffled."""
+    how = how or QualityRules()
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                yield part.filter(pa.array(_judged(part, shared.value, how)[-1], pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)
