@@ -14,21 +14,25 @@ them need; the others are stored whole in the exception list.
 
 from __future__ import annotations
 
+import math
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from newsloom.lineage import stored
 from newsloom.llm.files import NewFile, Ranges, shared_folder
-from newsloom.llm.words import slices
+from newsloom.llm.words import slices, words_of
 
 MAGIC = b"PFORTOK1"
 _HEADER = "<8sIQQQ"
@@ -43,23 +47,22 @@ class PackedBlocks:
     percentile: float = 90.0
 
 
-def _bit_lengths(values: np.ndarray) -> np.ndarray:
-    return np.where(values > 0, np.floor(np.log2(np.maximum(values, 1))).astype(np.int64) + 1, 0)
-
-
 def encode_blocks(ids: np.ndarray, how: PackedBlocks) -> list[bytes]:
     """One byte string per block of ids."""
     out: list[bytes] = []
     for at in range(0, len(ids), how.block):
-        part = ids[at : at + how.block]
+        part = ids[at : at + how.block].astype(np.int64)
         least = int(part.min())
-        rest = (part - least).astype(np.int64)
-        width = int(np.percentile(_bit_lengths(rest), how.percentile, method="inverted_cdf"))
-        over = np.flatnonzero(rest >> width)
-        low = rest.copy()
+        rest = part - least
+        # frexp gives the bit length of whole numbers
+        lengths = np.frexp(rest)[1]
+        rank = max(math.ceil(len(part) * how.percentile / 100), 1) - 1
+        width = int(np.partition(lengths, rank)[rank])
+        over = np.flatnonzero(lengths > width)
+        low = rest.astype("<u4")
         low[over] = 0
-        bits = (low[:, None] >> np.arange(width)) & 1
-        packed = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+        bits = np.unpackbits(low.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+        packed = np.packbits(bits, axis=None, bitorder="little").tobytes()
         exceptions = over.astype("<u2").tobytes() + rest[over].astype("<u4").tobytes()
         out.append(struct.pack(_BLOCK, least, width, len(over)) + packed + exceptions)
     return out
@@ -68,58 +71,82 @@ def encode_blocks(ids: np.ndarray, how: PackedBlocks) -> list[bytes]:
 def decode_block(data: bytes, n: int) -> np.ndarray:
     """The ``n`` ids of one block."""
     least, width, n_over = struct.unpack_from(_BLOCK, data)
-    size = (n * width + 7) // 8
     at = struct.calcsize(_BLOCK)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little")[: n * width].reshape(n, width)
-    values = bits.astype(np.int64) @ (np.int64(1) << np.arange(width, dtype=np.int64)) if width else np.zeros(n, np.int64)
+    size = (n * width + 7) // 8
+    bits = np.zeros((n, 32), np.uint8)
+    bits[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little")[: n * width].reshape(n, width)
+    values = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel().astype(np.int64)
     at += size
     places = np.frombuffer(data, "<u2", n_over, at)
     values[places] = np.frombuffer(data, "<u4", n_over, at + 2 * n_over)
     return values + least
 
 
+# Lower-case words that normalisation and splitting leave as they are.
+_SETTLED = re.compile("[a-zß-öø-ÿ]+")
+
+
 class WordIds:
-    """Ids of whole texts from the ids of their distinct words.
+    """Ids of whole texts from the ids of their distinct parts.
 
-    For tokenizers that drop white space and split at it, so that the ids of a
-    text are those of its space-separated parts one after another. Each distinct
-    part is encoded by the library once while it stays in the memory of the task.
+    For tokenizers that fold case, drop white space and split at it and between
+    letters and other characters: the ids of a text are then those of its parts one
+    after another. Each distinct part is encoded by the library once while its ids
+    are held; parts of plain lower-case letters skip the normaliser, which would
+    leave them alone.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 3_000_000):
         self._tokenizer, self._most = Tokenizer.from_file(path), most
+        self._settled = Tokenizer(self._tokenizer.model)
+        self._settled.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._specials = [x.content for x in self._tokenizer.get_added_tokens_decoder().values()]
         self._clear()
 
     def _clear(self) -> None:
-        self._places: dict[str, int] = {}
-        self._ids, self._starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        self._hashes = np.zeros(0, np.uint64)
+        self._starts, self._lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._ids = np.zeros(0, np.int32)
+
+    def _add(self, hashes: np.ndarray, parts: list[str]) -> None:
+        settled = np.fromiter((_SETTLED.fullmatch(p) is not None for p in parts), bool, len(parts))
+        order = np.argsort(~settled, kind="stable")
+        n = int(settled.sum())
+        ordered = [parts[i] for i in order]
+        encoded = [x.ids for x in self._settled.encode_batch_fast(ordered[:n], add_special_tokens=False)]
+        encoded += [x.ids for x in self._tokenizer.encode_batch_fast(ordered[n:], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        starts = len(self._ids) + np.cumsum(lengths) - lengths
+        self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum()))])
+        merged = np.concatenate([self._hashes, hashes[order]])
+        by_hash = np.argsort(merged, kind="stable")
+        self._hashes = merged[by_hash]
+        self._starts = np.concatenate([self._starts, starts])[by_hash]
+        self._lengths = np.concatenate([self._lengths, lengths])[by_hash]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
-        if len(self._places) > self._most:
+        if len(self._hashes) > self._most:
             self._clear()
-        parts = [[w for w in (x or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if w] for x in texts]
-        fresh = [w for w in dict.fromkeys(w for p in parts for w in p) if w not in self._places]
-        if fresh:
-            encoded = [x.ids for x in self._tokenizer.encode_batch(fresh, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            flat = np.fromiter((i for x in encoded for i in x), np.int32, int(lengths.sum()))
-            for k, w in enumerate(fresh, len(self._starts) - 1):
-                self._places[w] = k
-            self._ids = np.concatenate([self._ids, flat])
-            self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(lengths)])
-        n_words = np.fromiter(map(len, parts), np.int64, len(parts))
-        places = np.fromiter((self._places[w] for p in parts for w in p), np.int64, int(n_words.sum()))
-        first, lengths = self._starts[places], self._starts[places + 1] - self._starts[places]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self._ids[np.repeat(first - total[:-1], lengths) + np.arange(total[-1])]
-        ends = total[np.cumsum(n_words)]
-        return ids, np.diff(np.concatenate([[0], ends]))
+        # special tokens are matched before case is folded
+        plain = not any(pc.any(pc.match_substring(texts, x)).as_py() for x in self._specials)
+        words = words_of(texts, fold=plain, cut_stops=plain)
+        hashes, firsts, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self._hashes, hashes), max(len(self._hashes) - 1, 0))
+        known = self._hashes[at] == hashes if len(self._hashes) else np.zeros(len(hashes), bool)
+        fresh = np.flatnonzero(~known)
+        if len(fresh):
+            self._add(hashes[fresh], [words.text(firsts[i]) for i in fresh])
+        places = np.searchsorted(self._hashes, hashes)[inverse]
+        first, lengths = self._starts[places], self._lengths[places]
+        total = np.cumsum(lengths)
+        ids = self._ids[np.repeat(first - total + lengths, lengths) + np.arange(total[-1] if len(total) else 0)]
+        return ids, np.bincount(words.docs, lengths, minlength=words.n_docs).astype(np.int64)
 
 
 @lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
-    """One encoder per Python worker: its words serve the worker's later tasks too."""
+    """One encoder per Python worker: what it holds serves the worker's later tasks too."""
     return WordIds(path)
 
 
@@ -150,8 +177,8 @@ def write_token_files(documents: DataFrame, tokenizer: str, end: int, how: Packe
         blocks: list[bytes] = []
         left = np.zeros(0, np.int32)
         for batch in batches:
-            for part in slices(batch):
-                ids, counts = with_end(*encode.encode(part.column("text").to_pylist()), end)
+            for part in slices(batch, most_bytes=8 << 20):
+                ids, counts = with_end(*encode.encode(part.column("text")), end)
                 names.append(part.column("doc_id"))
                 sizes.append(counts)
                 left = np.concatenate([left, ids])

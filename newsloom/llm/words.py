@@ -19,6 +19,10 @@ SEPARATORS = np.zeros(256, dtype=bool)
 SEPARATORS[[9, 10, 11, 12, 13, 32]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
+_LETTERS = np.zeros(256, dtype=bool)
+_LETTERS[65:91] = _LETTERS[97:123] = True
+_STOPS = np.zeros(256, dtype=bool)
+_STOPS[np.frombuffer(b".,;:!?", np.uint8)] = True
 _PRIME = np.uint64(0x100000001B3)
 _SEED = np.uint64(0xCBF29CE484222325)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -94,25 +98,37 @@ class Words:
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span."""
     lengths = ends - starts
+    # longest first: the spans that still have a byte at ``at`` are always a prefix
+    order = np.argsort(-np.minimum(lengths, _LONG + 1).astype(np.int16), kind="stable")
+    longer = len(lengths) - np.searchsorted(np.minimum(lengths[order], _LONG + 1)[::-1], np.arange(_LONG), side="right")
+    places = starts[order]
     hashes = np.full(len(starts), _SEED)
-    alive, at = np.flatnonzero(lengths > 0), 0
-    while len(alive) and at < _LONG:
-        hashes[alive] = (hashes[alive] ^ data[starts[alive] + at]) * _PRIME
-        at += 1
-        alive = alive[lengths[alive] > at]
-    for i in alive:
-        hashes[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes())
-    return mixed(hashes)
-
-
-def words_of(texts: pa.Array | pa.ChunkedArray, fold: bool = False) -> Words:
-    """The words of all texts; ``fold`` lower-cases A-Z first."""
+    for at in range(_LONG):
+        n = longer[at]
+        if not n:
+            break
+        hashes[:n] = (hashes[:n] ^ data[places[:n] + at]) * _PRIME
+    result = np.empty_like(hashes)
+    result[order] = hashes
+    for i in np.flatnonzero(lengths > _LONG):
+        result[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return mixed(result)
+
+
+def words_of(texts: pa.Array | pa.ChunkedArray, fold: bool = False, cut_stops: bool = False) -> Words:
+    """The words of all texts.
+
+    ``fold`` lower-cases A-Z first; ``cut_stops`` also ends a word between an ASCII
+    letter and one of ``.,;:!?``.
+    """
     data, offsets = utf8(texts)
     if fold:
         data = _FOLD[data]
     inner = ~SEPARATORS[data]
     first = np.zeros(len(data) + 1, dtype=bool)
     first[offsets] = True
+    if cut_stops and len(data):
+        first[1:-1] |= _LETTERS[data[:-1]] & _STOPS[data[1:]]
     begins, stops = inner.copy(), inner.copy()
     if len(data):
         begins[1:] &= ~inner[:-1] | first[1:-1]
