@@ -86,6 +86,9 @@ def decode_block(data: bytes, n: int) -> np.ndarray:
 _SETTLED = re.compile("[a-zß-öø-ÿ]+")
 
 
+_AT_ONCE = 8192
+
+
 class WordIds:
     """Ids of whole texts from the ids of their distinct parts.
 
@@ -112,12 +115,18 @@ class WordIds:
         settled = np.fromiter((_SETTLED.fullmatch(p) is not None for p in parts), bool, len(parts))
         order = np.argsort(~settled, kind="stable")
         n = int(settled.sum())
-        ordered = [parts[i] for i in order]
-        encoded = [x.ids for x in self._settled.encode_batch_fast(ordered[:n], add_special_tokens=False)]
-        encoded += [x.ids for x in self._tokenizer.encode_batch_fast(ordered[n:], add_special_tokens=False)]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        ids: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        for tokenizer, some in ((self._settled, order[:n]), (self._tokenizer, order[n:])):
+            # the library's results are large while they last
+            for at in range(0, len(some), _AT_ONCE):
+                batch = [parts[i] for i in some[at : at + _AT_ONCE]]
+                encoded = [x.ids for x in tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+                sizes.append(np.fromiter(map(len, encoded), np.int64, len(encoded)))
+                ids.append(np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes[-1].sum())))
+        lengths = np.concatenate(sizes)
         starts = len(self._ids) + np.cumsum(lengths) - lengths
-        self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum()))])
+        self._ids = np.concatenate([self._ids, *ids])
         merged = np.concatenate([self._hashes, hashes[order]])
         by_hash = np.argsort(merged, kind="stable")
         self._hashes = merged[by_hash]
@@ -177,7 +186,7 @@ def write_token_files(documents: DataFrame, tokenizer: str, end: int, how: Packe
         blocks: list[bytes] = []
         left = np.zeros(0, np.int32)
         for batch in batches:
-            for part in slices(batch, most_bytes=8 << 20):
+            for part in slices(batch, most_bytes=3 << 20):
                 ids, counts = with_end(*encode.encode(part.column("text")), end)
                 names.append(part.column("doc_id"))
                 sizes.append(counts)

@@ -13,6 +13,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -159,6 +160,7 @@ def build_tokenizer(model: PieceModel, normalize: bool = True) -> Tokenizer:
     return tokenizer
 
 
+_AT_ONCE = 8192
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -185,27 +187,37 @@ class PieceEncoder:
     def _clear(self) -> None:
         self._places: dict[str, int] = {}
         self._ids, self._starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
-        self._unlike, self._lossy = np.zeros(0, bool), np.zeros(0, bool)
+        self._unlike, self._lossy = bytearray(), bytearray()
+        self._new_ids: list[np.ndarray] = []
+        self._new_lengths: list[np.ndarray] = []
 
     def _add(self, fresh: list[str]) -> None:
-        encoded = [x.ids for x in self._bare.encode_batch(fresh, add_special_tokens=False)]
+        # results of the libraries are large while they last
+        for at in range(0, len(fresh), _AT_ONCE):
+            self._add_some(fresh[at : at + _AT_ONCE])
+        merged = np.concatenate([self._ids, *self._new_ids])
+        starts = np.concatenate([self._starts[-1:], *self._new_lengths]).cumsum()
+        self._ids, self._starts = merged, np.concatenate([self._starts, starts[1:]])
+        self._new_ids, self._new_lengths = [], []
+
+    def _add_some(self, fresh: list[str]) -> None:
+        encoded = [x.ids for x in self._bare.encode_batch_fast(fresh, add_special_tokens=False)]
         decoded = self._bare.decode_batch(encoded, skip_special_tokens=False)
         # the decoder drops one leading blank, the original adds one
         plain = [c.replace(MARK, " ") for c in fresh]
         bare = [c[1:] if self.model.dummy_prefix and c.startswith(" ") else c for c in plain]
-        lossy = [a != b for a, b in zip(decoded, bare, strict=True)]
-        unlike = [False] * len(fresh)
+        self._lossy.extend(a != b for a, b in zip(decoded, bare, strict=True))
+        unlike = bytearray(len(fresh))
         if self._original is not None and not self.model.charsmap and not self.model.squeeze and self.model.dummy_prefix:
-            asked = [k for k, (c, b) in enumerate(zip(plain, bare, strict=True)) if b and c is not b and c.startswith(" ")]
+            asked = [k for k, (c, b) in enumerate(zip(plain, bare, strict=True)) if b and c.startswith(" ")]
             for k, ids in zip(asked, self._original.encode([bare[k] for k in asked], num_threads=1), strict=True):
                 unlike[k] = ids != encoded[k]
+        self._unlike.extend(unlike)
+        n = len(self._places)
+        self._places.update(zip(fresh, range(n, n + len(fresh)), strict=True))
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        for k, chunk in enumerate(fresh, len(self._starts) - 1):
-            self._places[chunk] = k
-        self._ids = np.concatenate([self._ids, np.fromiter((i for x in encoded for i in x), np.int32, int(lengths.sum()))])
-        self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(lengths)])
-        self._unlike = np.concatenate([self._unlike, np.array(unlike, bool)])
-        self._lossy = np.concatenate([self._lossy, np.array(lossy, bool)])
+        self._new_lengths.append(lengths)
+        self._new_ids.append(np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum())))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """All ids, ids per text, chunks per text unlike the original library's, chunks per text lost in decoding."""
@@ -227,8 +239,8 @@ class PieceEncoder:
         total = np.concatenate([[0], np.cumsum(lengths)])
         ids = self._ids[np.repeat(self._starts[places] - total[:-1], lengths) + np.arange(total[-1])]
         counts = np.bincount(owners, lengths, minlength=len(texts)).astype(np.int64)
-        unlike = np.bincount(owners, self._unlike[places], minlength=len(texts)).astype(np.int64)
-        lossy = np.bincount(owners, self._lossy[places], minlength=len(texts)).astype(np.int64)
+        unlike = np.bincount(owners, np.frombuffer(self._unlike, np.uint8)[places], minlength=len(texts)).astype(np.int64)
+        lossy = np.bincount(owners, np.frombuffer(self._lossy, np.uint8)[places], minlength=len(texts)).astype(np.int64)
         return ids, counts, unlike, lossy
 
 
