@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -220,6 +221,19 @@ def write_token_files(documents: DataFrame, tokenizer: str, end: int, how: Packe
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
+def _dealt_files(manifest: DataFrame) -> DataFrame:
+    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.select("file", "file_bytes", "base").repartition(n, "file")
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[pa.RecordBatch]:
+    ranges = Ranges()
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield from _documents(ranges, row["file"], row["file_bytes"], row["base"], group)
+    ranges.close()
+
+
 def read_token_files(manifest: DataFrame, group: int = 256) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of every document, from the files alone.
 
@@ -227,15 +241,28 @@ def read_token_files(manifest: DataFrame, group: int = 256) -> DataFrame:
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranges = Ranges()
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield from _documents(ranges, row["file"], row["file_bytes"], row["base"], group)
-        ranges.close()
+        return _stretches(batches, group)
+
+    return _dealt_files(manifest).mapInArrow(read, "doc_id long, start long, n_tokens long, ids array<int>")
+
+
+def read_digests(manifest: DataFrame, group: int = 256) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32``: as ``read_token_files``, with the crc32 of the ids in their place."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return (ids_crc32(part) for part in _stretches(batches, group))
+
+    return _dealt_files(manifest).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
 
-    rows = manifest.select("file", "file_bytes", "base")
-    spread = rows.repartition(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file")
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids array<int>")
+def ids_crc32(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Replace ``ids`` by the unsigned crc32 of the ids as little-endian 32-bit integers."""
+    lists = batch.column("ids")
+    values = np.asarray(lists.flatten()).astype("<u4")
+    ends = np.cumsum(np.asarray(lists.value_lengths().fill_null(0)))
+    sums = [zlib.crc32(x.tobytes()) for x in np.split(values, ends[:-1])] if batch.num_rows else []
+    kept = [c for c in batch.schema.names if c != "ids"]
+    return pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(sums, pa.int64())], [*kept, "ids_crc32"])
 
 
 def _documents(ranges: Ranges, uri: str, size: int, base: int, group: int) -> Iterator[pa.RecordBatch]:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -68,20 +66,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_crc(encoded: DataFrame) -> DataFrame:
-    """Replace the column ``ids`` by the unsigned crc32 of its ids as little-endian 32-bit integers."""
-    others = [c for c in encoded.columns if c != "ids"]
+    """Replace the column ``ids`` by its crc32."""
+    schema = ", ".join(f"{c} {kind}" for c, kind in encoded.dtypes if c != "ids")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("ids")
-            values = np.asarray(lists.flatten()).astype("<u4")
-            offsets = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))])
-            sums = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in others), pa.array(sums, pa.int64())], [*others, "ids_crc32"]
-            )
+        return map(packed.ids_crc32, batches)
 
-    schema = ", ".join(f"{c} {kind}" for c, kind in encoded.dtypes if c != "ids")
     return encoded.mapInArrow(digest, f"{schema}, ids_crc32 long")
 
 
@@ -100,7 +90,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = packed.write_token_files(table(spark, sf_dir, "documents"), WORDS, END_ID)
-    return with_crc(packed.read_token_files(manifest)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return packed.read_digests(manifest)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
