@@ -32,7 +32,7 @@ class BackoffModel:
 
     order: int = 2
     alpha: float = 0.4
-    block_bytes: int = 12 << 20
+    block_bytes: int = 8 << 20
     part_bytes: int = 4 << 20
 
 

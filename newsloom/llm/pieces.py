@@ -241,6 +241,8 @@ class PieceEncoder:
         counts = np.bincount(owners, lengths, minlength=len(texts)).astype(np.int64)
         unlike = np.bincount(owners, np.frombuffer(self._unlike, np.uint8)[places], minlength=len(texts)).astype(np.int64)
         lossy = np.bincount(owners, np.frombuffer(self._lossy, np.uint8)[places], minlength=len(texts)).astype(np.int64)
+        # a mark that stood in the text decodes to a blank
+        lossy += np.fromiter((x.count(MARK) if x else 0 for x in texts), np.int64, len(texts))
         return ids, counts, unlike, lossy
 
 
@@ -254,8 +256,8 @@ def encode_pieces(documents: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, n_tokens, n_unlike, n_lossy`` of every document.
 
     ``n_unlike`` counts chunks whose ids differ from the original library's and
-    ``n_lossy`` chunks that do not decode to themselves (a mark that stood in the
-    text decodes to a blank). Null and empty texts have no ids; null ids stay null.
+    ``n_lossy`` what does not decode to itself: chunks, and marks that stood in the
+    text and decode to blanks. Null and empty texts have no ids; null ids stay null.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

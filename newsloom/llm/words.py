@@ -50,7 +50,7 @@ def utf8(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return held[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with few bytes of text, one row at least."""
     _, offsets = utf8(batch.column(column))
     start = 0
