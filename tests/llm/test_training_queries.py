@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections import Counter
 
 import duckdb
 import pytest
@@ -35,7 +36,8 @@ def test_pipeline_stages_take_effect(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF_DIR)
         assert out.columns == docs.columns, name
-        assert out.exceptAll(docs).isEmpty(), name
+        before, after = (Counter(tuple(r) for r in x.collect()) for x in (docs, out))
+        assert after <= before, name
         docs = out.cache()
         sizes.append(docs.count())
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0.5 * sizes[0]
