@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsloom.functions.binding import bound, matched_groups
+from newsloom.functions.text import strip
 
 # Month names and the zone names of RFC 822, as UTC offsets.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -22,8 +23,9 @@ BUCKET_INTERVALS = ("daily", "hourly")
 
 _RFC822 = (
     r"^(?:[A-Za-z]+\.?,?\s+|[A-Za-z]+,)?(\d{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*[\s,-]+(\d{4}|\d{2})"
-    r"\s+(\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?\s*([A-Za-z]*|[+-]\d{2}:?\d{2})$"
+    r"(?:\s+(\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?)?\s*([A-Za-z]*|[+-]\d{2}:?\d{2})$"
 )
+_ASCTIME = r"^[A-Za-z]{3}\s+([A-Za-z]{3})\s+(\d{1,2})\s+(\d{1,2}):(\d{2}):(\d{2})\s+(?:([A-Za-z]+)\s+)?(\d{4})$"
 _ISO8601 = (
     r"^(\d{4})(?:-?(\d{2})(?:-?(\d{2}))?)?"
     r"(?:[Tt\s]+(\d{2}):?(\d{2})(?::?(\d{2})(?:[.,]\d+)?)?\s*([A-Za-z]*|[+-]\d{2}:?\d{2}))?$"
@@ -132,14 +134,23 @@ def _from_rfc822(parts: Column) -> Column:
     return _assembled(F.concat(century, short), F.lpad(month, 2, "0"), parts, "dmyHMSz")
 
 
+def _from_asctime(parts: Column) -> Column:
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(parts[0])).cast("string")
+    return _assembled(parts[6], F.lpad(month, 2, "0"), parts, "mdHMSzy")
+
+
 def _from_iso8601(parts: Column) -> Column:
     month = F.when(parts[1] == "", F.lit("01")).otherwise(parts[1])
     return _assembled(parts[0], month, parts, "ymdHMSz")
 
 
 def parse_feed_date(text: Column) -> Column:
-    """RFC 822 or ISO 8601 feed date to an instant in whole seconds; else null."""
-    text = F.trim(text)
+    """RFC 822, ISO 8601 or ``Mon Jan 29 10:00:00 2024`` to an instant in whole seconds; else null.
+
+    A date without a time is the start of its day in UTC.
+    """
+    text = strip(text)
     rfc822 = bound(matched_groups(text, _RFC822, 7), lambda p: F.when(F.size(p) == 7, _from_rfc822(p)))
     iso8601 = bound(matched_groups(text, _ISO8601, 7), lambda p: F.when(F.size(p) == 7, _from_iso8601(p)))
-    return F.coalesce(rfc822, iso8601)
+    asctime = bound(matched_groups(text, _ASCTIME, 7), lambda p: F.when(F.size(p) == 7, _from_asctime(p)))
+    return F.coalesce(rfc822, iso8601, asctime)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.binding import bound, matched_groups
 from newsloom.lineage import broadcast_if_small
+from newsloom.sources.suffixes import suffix_depth
 
 # Query parameters that only track where a reader came from.
 TRACKING_PARAMETERS = (
@@ -17,7 +18,7 @@ TRACKING_PARAMETERS = (
 # Schemes whose last path segment may carry ";parameters".
 PARAMETER_SCHEMES = (
     "", "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtsps",
-    "rtspu", "sip", "sips", "mms", "sftp", "tel",
+    "rtspu", "sip", "sips", "mms", "sftp", "tel", "imap",
 )
 
 # RFC 3986, appendix B: scheme, authority, path, query.
@@ -98,12 +99,12 @@ def host(url: Column) -> Column:
     return F.lower(F.when(bracketed != "", bracketed).otherwise(name))
 
 
-def with_registered_domain(df: DataFrame, url: str, suffixes: DataFrame, into: str, max_labels: int = 4) -> DataFrame:
+def with_registered_domain(df: DataFrame, url: str, suffixes: DataFrame, into: str) -> DataFrame:
     """Add ``into``: public suffix plus one label of the URL's host.
 
     ``suffixes`` comes from :func:`newsloom.sources.suffixes.suffix_rules`. The
-    host's endings of one to ``max_labels`` labels are each looked up by a left
-    equi-join. The list has a few thousand short rows of known size and is
+    host's endings, up to as many labels as the longest rule has, are each looked
+    up by a left equi-join. The list has a few thousand short rows of known size and is
     broadcast, so no row of ``df`` is shuffled, however many of them share one
     host or one suffix.
 
@@ -114,6 +115,7 @@ def with_registered_domain(df: DataFrame, url: str, suffixes: DataFrame, into: s
     looked_up = df.withColumn("_host", host(F.col(url))).withColumn(
         "_labels", F.split("_host", r"[.\x{3002}\x{ff0e}\x{ff61}]")
     )
+    max_labels = suffix_depth(suffixes)
     suffixes = broadcast_if_small(suffixes)
     for depth in range(1, max_labels + 1):
         ending = F.when(F.size(labels) >= depth, F.array_join(F.slice(labels, -depth, depth), "."))

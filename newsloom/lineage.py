@@ -16,7 +16,8 @@ SMALL_BYTES = 16 << 20
 def broadcast_if_small(lookup: DataFrame) -> DataFrame:
     """Mark a lookup table for broadcasting when the planner knows it is small.
 
-    The check costs no job. A table of unknown or larger size is left to the
+    The check costs no job; for files it is the planner's estimate, which starts
+    from their compressed size. A table of unknown or larger size is left to the
     planner, which then shuffles it or decides at run time.
     """
     size = lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text, times, url
-from newsloom.lineage import broadcast_if_small
+from newsloom.lineage import broadcast_if_small, stored
+from newsloom.operators.upsert import one_per_key
 
 # Default limits of one run.
 MAX_ITEMS_PER_FEED = 50
@@ -46,6 +47,26 @@ def publisher_name(source_title: Column, author: Column, feed_title: Column, can
     return F.coalesce(*candidates, url.netloc(canonical_url))
 
 
+def placed_in_feed(entries: DataFrame) -> DataFrame:
+    """Entries with ``place``, their position in all documents of their feed.
+
+    Documents follow each other by the column ``document``; without it a feed is
+    one document. Only one short row per document is summed up, never an entry.
+    """
+    if "document" not in entries.columns:
+        return entries.withColumn("place", F.col("pos").cast("bigint"))
+    before = Window.partitionBy("feed").orderBy("document").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = entries.groupBy("feed", "document").agg((F.max("pos") + 1).alias("size"))
+    starts = sizes.select("feed", "document", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    return entries.join(starts, ["feed", "document"]).withColumn("place", F.col("start") + F.col("pos"))
+
+
+def unregistered_feeds(entries: DataFrame, feeds: DataFrame) -> DataFrame:
+    """Feeds that have entries but are not in the registry, with their number of entries."""
+    counts = entries.groupBy("feed").agg(F.count("*").alias("n_entries"))
+    return counts.join(feeds.select(F.col("name").alias("feed")), "feed", "left_anti")
+
+
 def collect_items(
     entries: DataFrame,
     feeds: DataFrame,
@@ -59,15 +80,20 @@ def collect_items(
     """Item rows of a run from feed entries (see ``newsloom.sources.feeds``).
 
     ``feeds`` is the registry: ``feed_order`` plus the columns of
-    ``newsloom.schemas.FEEDS``. The result has ``seq``, the order of feeds in the
-    registry and of entries in their feed, besides the item columns.
+    ``newsloom.schemas.FEEDS``; of a feed listed twice the first row counts, and
+    entries of other feeds are left to :func:`unregistered_feeds`. The result has
+    ``seq``, the order of feeds in the registry and of entries in their feed, over
+    all its documents, besides the item columns. ``max_items`` is a limit per feed.
     """
     registry = feeds.select(
         F.col("name").alias("feed"), "feed_order", F.coalesce("weight", F.lit(1.0)).alias("source_weight"),
         "category", "market", F.coalesce(F.nullif("language", F.lit("")), F.lit("en")).alias("language"),
     )
+    registry = one_per_key(registry, ["feed"], F.col("feed_order"))
+    # sizes of documents and the items both read the parsed entries
+    entries = placed_in_feed(stored(entries, "entries") if "document" in entries.columns else entries)
     if max_items is not None:
-        entries = entries.filter(F.col("pos") < max_items)
+        entries = entries.filter(F.col("place") < max_items)
     dated = with_required_fields(entries).withColumn(
         "published_at", F.coalesce(times.parse_feed_date(F.col("published")), fetched_at)
     )
@@ -85,7 +111,7 @@ def collect_items(
     feed_title = F.coalesce("feed_title", "feed")
     publisher = publisher_name(F.col("source_title"), F.col("author"), feed_title, F.col("canonical_url"))
     return located.select(
-        (F.col("feed_order").cast("bigint") * F.lit(1 << 32) + F.col("pos")).alias("seq"),
+        (F.col("feed_order").cast("bigint") * F.lit(1 << 32) + F.col("place")).alias("seq"),
         text.url_hash(F.col("canonical_url")).alias("item_id"),
         F.lit(run_id).alias("run_id"),
         "canonical_url",

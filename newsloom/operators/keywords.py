@@ -66,16 +66,18 @@ def topic_keywords(items: DataFrame, top_n: int = KEYWORDS_PER_TOPIC) -> DataFra
     return ranked.groupBy("topic_id").agg(F.transform(listed, lambda row: row["term"]).alias("keywords"))
 
 
-def reduce_topics(counts: DataFrame, nr_topics: int) -> DataFrame:
+def reduce_topics(counts: DataFrame, nr_topics: int, volumes: DataFrame | None = None) -> DataFrame:
     """Map topics onto the ``nr_topics`` largest: ``topic_id, merged_id``.
 
-    The topics with the most words stay. Every other one joins the staying topic
+    The topics with the most items stay (``volumes`` has ``topic_id, volume``; without
+    it, those with the most words). Every other one joins the staying topic
     with the greatest cosine between their class-based TF-IDF rows (ties go to
     the lower id). Only the terms of the staying topics are paired, at most
     ``nr_topics`` per term. ``counts`` is read several times and should be stored.
     """
     sizes = counts.groupBy("topic_id").agg(F.sum("n").alias("words"))
-    kept = sizes.orderBy(F.desc("words"), F.asc("topic_id")).limit(nr_topics).select("topic_id")
+    ranked = volumes.select("topic_id", F.col("volume").alias("words")) if volumes is not None else sizes
+    kept = ranked.orderBy(F.desc("words"), F.asc("topic_id")).limit(nr_topics).select("topic_id")
     weights = stored(weighted_terms(counts).select("topic_id", "term", "weight"), "term_weights")
     norms = weights.groupBy("topic_id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     targets = weights.join(kept, "topic_id", "left_semi").select(

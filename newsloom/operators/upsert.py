@@ -40,14 +40,15 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], repl
     return old.join(new, [*keys], "full_outer").select(*[values.get(c, F.col(c)) for c in target.columns])
 
 
-def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key the target does not have yet."""
-    return source.join(target.select(*keys), [*keys], "left_anti").select(*source.columns)
+def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
+    """The first source row, in the given order, of each key the target does not have yet."""
+    fresh = source.join(target.select(*keys), [*keys], "left_anti").select(*source.columns)
+    return one_per_key(fresh, keys, *order) if order else fresh.dropDuplicates([*keys])
 
 
-def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target plus the source rows with new keys; known keys stay untouched."""
-    return target.unionByName(new_rows(target, source, keys).select(*target.columns))
+def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
+    """Target plus the first source row of each new key; known keys stay untouched."""
+    return target.unionByName(new_rows(target, source, keys, *order).select(*target.columns))
 
 
 def without_runs(table: DataFrame, purged: DataFrame) -> DataFrame:

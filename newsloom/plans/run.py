@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import text
-from newsloom.lineage import stored
+from newsloom.lineage import broadcast_if_small, stored
+from newsloom.operators.components import numbered
 from newsloom.operators import cluster, collect, dedupe, keywords, scoring, topics
 from newsloom.plans import reports
 from newsloom.schemas import STATS
@@ -73,12 +74,16 @@ def mine_topics(
     )
     if settings.clustering.nr_topics:
         counts = stored(keywords.term_counts(clustered), "term_counts")
-        merged = keywords.reduce_topics(counts, settings.clustering.nr_topics)
+        volumes = topics.without_noise(clustered).groupBy("topic_id").agg(F.count("*").alias("volume"))
+        merged = keywords.reduce_topics(counts, settings.clustering.nr_topics, volumes)
         clustered = (
-            clustered.join(merged, "topic_id", "left")
-            .withColumn("topic_id", F.coalesce("merged_id", "topic_id"))
-            .drop("merged_id")
+            clustered.join(broadcast_if_small(renumbered(clustered, merged)), "topic_id", "left")
+            .withColumn("topic_id", F.coalesce("new_id", "topic_id"))
+            .drop("new_id")
         )
+        # noise and item counts stay, the topics are fewer
+        n_topics = topics.without_noise(clustered).agg(F.count_distinct("topic_id")).scalar()
+        cluster_stats = cluster_stats.withColumn("n_topics", n_topics)
     clustered = stored(clustered, "clustered")
     words = keywords.topic_keywords(clustered, settings.clustering.top_n_words)
     records = topics.topic_records(clustered, words, settings.bucket_interval)
@@ -92,6 +97,14 @@ def mine_topics(
     )
 
 
+def renumbered(items: DataFrame, merged: DataFrame) -> DataFrame:
+    """``topic_id, new_id`` of merged topics, numbered from the largest on."""
+    narrow = topics.without_noise(items).select("topic_id", "pos").join(merged, "topic_id")
+    sizes = narrow.groupBy("merged_id").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))
+    numbers = numbered(sizes, F.desc("n"), F.asc("first_pos"), into="new_id")
+    return merged.join(numbers.select("merged_id", F.col("new_id").cast("int").alias("new_id")), "merged_id").select("topic_id", "new_id")
+
+
 def run_row(
     spark: SparkSession,
     run_id: str,

@@ -25,9 +25,31 @@ _FRAGMENT = r"(?s)<(?:item|entry)(?:\s[^>]*)?>.*?</(?:item|entry)>"
 _HEAD_TITLE = r"(?s)<title[\s>].*?</title>|<title>.*?</title>"
 
 
+# HTML names that feeds use although XML does not know them.
+HTML_NAMES = {"nbsp": "\u00a0", "ndash": "\u2013", "mdash": "\u2014", "hellip": "\u2026", "rsquo": "\u2019", "lsquo": "\u2018",
+              "rdquo": "\u201d", "ldquo": "\u201c", "copy": "\u00a9", "reg": "\u00ae", "euro": "\u20ac"}
+_BARE_AMPERSAND = r"&(?!(?:#\d+|#[xX][0-9A-Fa-f]+|amp|lt|gt|quot|apos);)"
+
+
 def read_feed_documents(spark: SparkSession, path: str) -> DataFrame:
-    """``feed, value``: one row per document under ``path/feed=<name>/``."""
-    return spark.read.schema("value string, feed string").text(path, wholetext=True).select("feed", "value")
+    """``feed, document, value``: one row per document under ``path/feed=<name>/``.
+
+    ``document`` is the file's path; documents of a feed follow each other by it.
+    """
+    files = spark.read.schema("value string, feed string").text(path, wholetext=True)
+    return files.select("feed", F.col("_metadata.file_path").alias("document"), "value")
+
+
+def _repaired(fragment: Column) -> Column:
+    """A fragment whose HTML names are characters and whose bare ampersands are escaped.
+
+    Inside CDATA an ampersand stands for itself, so such fragments stay as they are.
+    """
+    fixed = fragment
+    for name, character in HTML_NAMES.items():
+        fixed = F.replace(fixed, F.lit(f"&{name};"), F.lit(character))
+    fixed = F.regexp_replace(fixed, _BARE_AMPERSAND, "&amp;")
+    return F.when(F.contains(fragment, F.lit("<![CDATA[")), fragment).otherwise(fixed)
 
 
 def _parsed(documents: DataFrame) -> DataFrame:
@@ -52,6 +74,15 @@ def unreadable_documents(documents: DataFrame) -> DataFrame:
     return _parsed(documents).filter(lost).select(*documents.columns)
 
 
+def unreadable_entries(documents: DataFrame) -> DataFrame:
+    """Cut-out entries of broken documents without title and link even after repair, with their text."""
+    columns = [c for c in documents.columns if c != "value"]
+    cut = _parsed(documents).select(*columns, F.posexplode("fragments").alias("pos", "fragment"))
+    read = cut.withColumn("e", F.from_xml(_repaired(F.col("fragment")), ENTRY_FIELDS, {"mode": "PERMISSIVE"}))
+    nothing = (F.coalesce("e.title", F.lit("")) == "") & (F.coalesce(_link("e"), F.lit("")) == "")
+    return read.filter(nothing).select(*columns, "pos", "fragment")
+
+
 def _link(entry: str) -> Column:
     """RSS link text, else the alternate Atom link, else a permanent guid."""
     links = F.col(f"{entry}.link")
@@ -83,7 +114,7 @@ def feed_entries(documents: DataFrame) -> DataFrame:
         F.transform("fragments", lambda f: F.struct(F.lit(None).cast(ENTRY).alias("entry"), f.alias("fragment"))),
     )
     exploded = _parsed(documents).select(*columns, "feed_title", F.posexplode(listed).alias("pos", "raw"))
-    recovered = F.from_xml("raw.fragment", ENTRY_FIELDS, {"mode": "PERMISSIVE"})
+    recovered = F.from_xml(_repaired(F.col("raw.fragment")), ENTRY_FIELDS, {"mode": "PERMISSIVE"})
     entry = exploded.select(
         *columns, "feed_title", "pos", F.coalesce("raw.entry", F.when(F.col("raw.fragment").isNotNull(), recovered)).alias("e")
     )

@@ -14,6 +14,9 @@ from newsloom.operators import upsert
 from newsloom.schemas import KEYS, REPLACED, TABLES
 
 FORMATS = ("parquet", "json")
+# Up to this many runs in one write become values of the plan, so that only their
+# partitions are read; more are looked up by a join.
+RUNS_AS_VALUES = 1000
 
 
 def timestamps_as_text(df: DataFrame) -> DataFrame:
@@ -82,7 +85,10 @@ class RunStore:
         return self.read("topics").filter(F.col("run_id") == run_id)
 
     def _touched(self, table: str, rows: DataFrame) -> DataFrame:
-        """The stored rows of the runs that ``rows`` brings."""
+        """The stored rows of the runs that ``rows`` brings; other partitions are not read."""
+        runs = [r[0] for r in rows.select("run_id").distinct().limit(RUNS_AS_VALUES + 1).collect()]
+        if len(runs) <= RUNS_AS_VALUES:
+            return self.read(table).filter(F.col("run_id").isin(runs))
         return self.read(table).join(rows.select("run_id").distinct(), "run_id", "left_semi")
 
     def _replace(self, table: str, rows: DataFrame) -> None:
@@ -109,8 +115,9 @@ class RunStore:
     def save_items(self, items: DataFrame) -> None:
         """Append the items that are not stored yet."""
         columns = _parse_datatype_string(TABLES["items"]).names
-        rows = items.select(*columns)
-        fresh = stored(upsert.new_rows(self._touched("items", rows), rows, KEYS["items"]), "items")
+        order = [F.col("seq")] if "seq" in items.columns else []
+        known = self._touched("items", items.select("run_id"))
+        fresh = stored(upsert.new_rows(known, items, KEYS["items"], *order).select(*columns), "items")
         if fresh.isEmpty():
             return
         out = timestamps_as_text(fresh) if self.fmt == "json" else fresh
@@ -131,9 +138,11 @@ class RunStore:
 
     def purge(self, run_ids: Iterable[str]) -> None:
         """Drop whole runs from all four tables, partition by partition."""
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         for run_id in run_ids:
             for table in TABLES:
-                fs, path = self._path(f"{table}/run_id={run_id}")
+                # folders carry the id as Spark writes it; Path reads no escapes
+                fs, path = self._path(f"{table}/run_id={escape(run_id)}")
                 fs.delete(path, True)
 
 

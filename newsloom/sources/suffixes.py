@@ -15,6 +15,8 @@ PRIVATE_SECTION = "===BEGIN PRIVATE DOMAINS==="
 def _bundled_list(spark: SparkSession) -> str:
     jvm = spark.sparkContext._jvm
     stream = jvm.java.lang.Thread.currentThread().getContextClassLoader().getResourceAsStream(BUNDLED_RESOURCE)
+    if stream is None:
+        raise FileNotFoundError(f"{BUNDLED_RESOURCE} is not on Spark's class path; pass the list as text")
     try:
         return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
@@ -55,4 +57,4 @@ def suffix_rules(spark: SparkSession, text: str | None = None) -> DataFrame:
 
 def suffix_depth(rules: DataFrame) -> int:
     """Most labels any listed suffix has."""
-    return rules.agg(F.max(F.size(F.split("suffix", r"\.")))).first()[0]
+    return rules.agg(F.max(F.size(F.split("suffix", r"\.")))).first()[0] or 0

@@ -14,7 +14,7 @@ from newsloom.operators import collect
 from newsloom.operators.cluster import ClusterSettings
 from newsloom.plans.run import RunSettings, run
 from newsloom.sources import feeds as feed_source
-from newsloom.sources.store import RunStore, load_jdbc, save_jdbc
+from newsloom.sources.store import RunStore
 from newsloom.sources.suffixes import suffix_rules
 
 NOW = datetime(2026, 2, 14, tzinfo=timezone.utc)
@@ -185,7 +185,8 @@ def test_topic_reduction_in_a_run(spark, tmp_path):
     )
     settings = RunSettings(clustering=ClusterSettings(min_topic_size=10, eps=0.4, components=2, nr_topics=2))
     result = run(spark.createDataFrame(rows, schema), "r", F.lit(NOW), settings=settings)
-    assert sorted(r["topic_volume"] for r in result.topics.collect()) == [20, 40]
+    assert sorted((r["topic_id"], r["topic_volume"]) for r in result.topics.collect()) == [(0, 40), (1, 20)]
+    assert result.stats.first()["topic_count"] == 2
 
 
 def test_unknown_storage_format(spark):
@@ -198,7 +199,3 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     assert checkpoint_dir(spark) == folder
     path = stored(spark.range(3), "probe").inputFiles()[0]
     assert path.removeprefix("file://").startswith(f"{folder}/probe-")
-
-
-def test_database_options_are_passed_on(spark):
-    assert callable(save_jdbc) and callable(load_jdbc)

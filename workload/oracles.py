@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from newsloom.functions.url import TRACKING_PARAMETERS
 from workload.queries import FEED_LIMIT, LOOKBACK_DAYS
 
 ORACLES: dict[str, str] = {}
 
 # White space as a class that DuckDB's regular expressions know.
 WS = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-TRACKED = ", ".join(f"'{name}'" for name in TRACKING_PARAMETERS)
+# The tracking parameters that canonical URLs lose.
+TRACKED = (
+    "'utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'fbclid', 'gclid', 'msclkid', '_ga',"
+    " 'mc_cid', 'mc_eid', 'ref', 'source', 'campaign_id', 'ad_id'"
+)
 
 
 def strip(x: str) -> str:
@@ -335,16 +338,52 @@ read as (
     doc_id % 2 = 1 or i % 2 = 0 as has_summary
   from lines where not (doc_id % 5 = 0 and i = n_lines - 1))"""
 
+# The place of an entry is counted over all documents of its feed.
+PLACED = """
+sizes as (select source, doc_id, max(i) + 1 as size from read group by source, doc_id),
+starts as (
+  select *, coalesce(sum(size) over (partition by source order by doc_id rows between unbounded preceding and 1 preceding), 0) as start
+  from sizes),
+placed as (
+  select r.*, cast(s.start + r.i as bigint) as place,
+    cast(cast(substr(r.source, 4) as bigint) * 4294967296 + s.start + r.i as bigint) as seq
+  from read r join starts s using (source, doc_id))"""
+
 ORACLES["feed_scan"] = f"""
 with {LINES},
-filled as (select *, case when has_summary then 'line ' || i else title end as summary from read where title <> '')
-select substr(sha256(canonical_url), 1, 16) as item_id, canonical_url, 'example.co.uk' as publisher_domain,
+{PLACED},
+filled as (select *, case when has_summary then 'line ' || i else title end as summary from placed where title <> '')
+select seq, substr(sha256(canonical_url), 1, 16) as item_id, canonical_url, 'example.co.uk' as publisher_domain,
   source as source_name, 1.0::double as source_weight, title, summary, has_summary,
   cast(length(title) + length(summary) as int) as text_len,
   {iso("date_trunc('second', published_at)")} as published_at,
   case when doc_id % 2 = 0 then source else 'writer ' || (doc_id % 7) end as publisher_name, 'en' as language
 from filled"""
 
+ORACLES["collected_items"] = f"""
+with {LINES},{PLACED}
+select seq, substr(sha256(canonical_url), 1, 16) as item_id, source as source_name, title,
+  {iso("date_trunc('second', published_at)")} as published_at
+from placed where title <> '' and source <> 'src3' and place < {FEED_LIMIT}
+  and date_trunc('second', published_at) >= timestamp '2024-01-31 00:00:00' - interval {4 * LOOKBACK_DAYS} day"""
+
+ORACLES["deduplicated_feed_items"] = f"""
+with {LINES},{PLACED},
+full_rows as (
+  select *, date_trunc('second', published_at) as published, case when has_summary then 'line ' || i else title end as summary
+  from placed where title <> ''),
+hashed as (
+  select *, sha256({squeeze("lower(title || ' ' || summary)")}) as content_hash from full_rows),
+by_hash as (
+  select *, min(seq) over (partition by content_hash) as pos,
+    row_number() over (partition by content_hash order by published desc, seq) as place_in_hash
+  from hashed)
+select seq, pos, substr(sha256(canonical_url), 1, 16) as item_id from by_hash where place_in_hash = 1"""
+
+ORACLES["unregistered_feeds"] = f"""
+with {LINES}
+select source as feed, count(*) as n_entries from read where source = 'src3' group by source"""
+
 ORACLES["unreadable_feeds"] = """
 select doc_id, source as feed from documents where doc_id % 5 = 0 and len(string_split(text, chr(10))) = 1"""
 

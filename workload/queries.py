@@ -337,11 +337,9 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", F.col("source").alias("feed"), value.alias("value"))
 
 
-@query
-def feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed documents parsed, broken ones recovered, entries turned into items."""
-    documents = stored(feed_documents(spark, sf_dir), "landed")
-    registry = (
+def feed_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source of the documents as a feed, in numeric order."""
+    return (
         table(spark, sf_dir, "documents")
         .select(F.col("source").alias("name"))
         .distinct()
@@ -350,15 +348,51 @@ def feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("news").alias("category"), F.lit(None).cast("string").alias("market"), F.lit("").alias("language"),
         )
     )
+
+
+@query
+def feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed documents parsed, broken ones recovered, entries turned into items."""
+    documents = stored(feed_documents(spark, sf_dir).withColumnRenamed("doc_id", "document"), "landed")
+    registry = feed_registry(spark, sf_dir)
     found = collect.collect_items(
         feeds.feed_entries(documents), registry, suffix_rules(spark), "run-1", as_of(), as_of(), None, None
     )
     return found.select(
-        "item_id", "canonical_url", "publisher_domain", "source_name", "source_weight", "title", "summary", "has_summary",
-        "text_len", shown("published_at").alias("published_at"), "json_payload.publisher_name", "json_payload.language",
+        "seq", "item_id", "canonical_url", "publisher_domain", "source_name", "source_weight", "title", "summary",
+        "has_summary", "text_len", shown("published_at").alias("published_at"), "json_payload.publisher_name", "json_payload.language",
     )
 
 
+@query
+def collected_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first entries of each feed over all its documents, inside the lookback."""
+    documents = feed_documents(spark, sf_dir).withColumnRenamed("doc_id", "document")
+    registry = feed_registry(spark, sf_dir).filter("feed_order <> 3")
+    entries_ = feeds.feed_entries(documents)
+    found = collect.collect_items(
+        entries_, registry, suffix_rules(spark), "run-1", as_of(), as_of(), FEED_LIMIT, 4 * LOOKBACK_DAYS
+    )
+    return found.select("seq", "item_id", "source_name", "title", shown("published_at").alias("published_at"))
+
+
+@query
+def deduplicated_feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collected feed items go through deduplication one row each."""
+    documents = feed_documents(spark, sf_dir).withColumnRenamed("doc_id", "document")
+    found = collect.collect_items(
+        feeds.feed_entries(documents), feed_registry(spark, sf_dir), suffix_rules(spark), "run-1", as_of(), as_of(), None, None
+    )
+    return dedupe.deduplicate(stored(found, "feed_items")).select("seq", "pos", "item_id")
+
+
+@query
+def unregistered_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = feed_documents(spark, sf_dir).withColumnRenamed("doc_id", "document")
+    registry = feed_registry(spark, sf_dir).filter("feed_order <> 3")
+    return collect.unregistered_feeds(feeds.feed_entries(documents), registry)
+
+
 @query
 def unreadable_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed documents from which nothing could be read."""
@@ -426,10 +460,14 @@ def upserted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def inserted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A write that repeats keys, also inside itself: the first row of a new key stays."""
     found = run_items(spark, sf_dir, narrow=False).select("run_id", "item_id", "title", "published_at")
-    found = stored(found, "items")
-    again = found.withColumn("title", F.concat(F.lit("again: "), "title"))
-    return upsert.insert_ignore(found.filter(is_early()), again, KEYS["items"]).select("run_id", "item_id", "title")
+    found = stored(found.withColumn("seq", F.lit(0)), "items")
+    again = found.withColumns({"title": F.concat(F.lit("again: "), "title"), "seq": F.lit(1)})
+    late = found.withColumns({"title": F.concat(F.lit("late: "), "title"), "seq": F.lit(2)})
+    source = late.unionByName(again)
+    merged = upsert.insert_ignore(found.filter(is_early()), source, KEYS["items"], F.col("seq"))
+    return merged.select("run_id", "item_id", "title")
 
 
 @query
