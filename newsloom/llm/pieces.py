@@ -263,7 +263,7 @@ def encode_pieces(documents: DataFrame, path: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most_bytes=4 << 20):
                 ids, counts, unlike, lossy = encoder.encode(part.column("text").to_pylist())
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
