@@ -1,4 +1,8 @@
-"""Topic keywords by class-based TF-IDF."""
+"""Topic keywords by class-based TF-IDF.
+
+Topics are those of one run: a row is one (run, topic), and totals and averages are
+taken inside each run.
+"""
 
 from __future__ import annotations
 
@@ -6,68 +10,69 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text
-from newsloom.lineage import stored
-from newsloom.operators.topics import without_noise
+from newsloom.lineage import broadcast_if_small, stored
+from newsloom.operators.topics import TOPIC, without_noise
 
 # Keywords kept per topic.
 KEYWORDS_PER_TOPIC = 15
 
 
 def term_counts(items: DataFrame) -> DataFrame:
-    """How often each term occurs in each topic: ``topic_id, term, n``.
+    """How often each term occurs in each topic: ``run_id, topic_id, term, n``.
 
     Terms are counted inside each map task first, so what is shuffled is at most
-    one row per (task, topic, term), whatever the size of a topic.
+    one row per (task, run, topic, term), whatever the size of a topic.
     """
     words = F.explode(text.tokens(text.document_text(F.col("title"), F.col("summary"))))
-    return (
-        without_noise(items).select("topic_id", words.alias("term")).groupBy("topic_id", "term").agg(F.count("*").alias("n"))
-    )
+    found = without_noise(items).select(*TOPIC, words.alias("term"))
+    return found.groupBy(*TOPIC, "term").agg(F.count("*").alias("n"))
 
 
 def corpus_terms(counts: DataFrame) -> DataFrame:
-    """How often each term occurs in all topics together: ``term, total``."""
-    return counts.groupBy("term").agg(F.sum("n").alias("total"))
+    """How often each term occurs in all topics of a run together: ``run_id, term, total``."""
+    return counts.groupBy("run_id", "term").agg(F.sum("n").alias("total"))
 
 
 def weighted_terms(counts: DataFrame) -> DataFrame:
-    """``topic_id, term, n, weight`` with weight = n · ln(1 + A / total).
+    """``run_id, topic_id, term, n, weight`` with weight = n · ln(1 + A / total).
 
-    ``A`` is the average number of words per topic, rounded down. The class-based
-    TF-IDF of a term is this weight over the words in its topic.
+    ``A`` is the average number of words per topic of the run, rounded down. The
+    class-based TF-IDF of a term is this weight over the words in its topic.
     """
-    average = counts.agg(F.floor(F.sum("n") / F.count_distinct("topic_id")).alias("average")).scalar()
-    return counts.join(corpus_terms(counts), "term").select(
-        "topic_id", "term", "n", (F.col("n") * F.log1p(average / F.col("total"))).alias("weight")
+    # two steps, so that a run is not gathered before it is one row per topic
+    words = counts.groupBy(*TOPIC).agg(F.sum("n").alias("words"))
+    averages = words.groupBy("run_id").agg(F.floor(F.sum("words") / F.count("*")).alias("average"))
+    totals = corpus_terms(counts).join(broadcast_if_small(averages), "run_id")
+    return counts.join(totals, ["run_id", "term"]).select(
+        *TOPIC, "term", "n", (F.col("n") * F.log1p(F.col("average") / F.col("total"))).alias("weight")
     )
 
 
 def ranked_keywords(counts: DataFrame, top_n: int = KEYWORDS_PER_TOPIC) -> DataFrame:
-    """The ``top_n`` terms per topic: ``topic_id, term, rank, score``.
+    """The ``top_n`` terms per topic: ``run_id, topic_id, term, rank, score``.
 
-    ``counts`` is read several times and should be stored. Inside one topic the weight orders terms as the score does, so the division
-    by the topic's word count waits until only ``top_n`` rows per topic are left.
+    ``counts`` is read several times and should be stored. Inside one topic the
+    weight orders terms as the score does, so the division by the topic's word
+    count waits until only ``top_n`` rows per topic are left.
     """
-    order = Window.partitionBy("topic_id").orderBy(F.desc("weight"), F.asc("term"))
+    order = Window.partitionBy(*TOPIC).orderBy(F.desc("weight"), F.asc("term"))
     best = weighted_terms(counts).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_n)
-    sizes = counts.groupBy("topic_id").agg(F.sum("n").alias("words"))
-    return best.join(sizes, "topic_id").select(
-        "topic_id", "term", "rank", (F.col("weight") / F.col("words")).alias("score")
-    )
+    sizes = counts.groupBy(*TOPIC).agg(F.sum("n").alias("words"))
+    return best.join(sizes, [*TOPIC]).select(*TOPIC, "term", "rank", (F.col("weight") / F.col("words")).alias("score"))
 
 
 def topic_keywords(items: DataFrame, top_n: int = KEYWORDS_PER_TOPIC) -> DataFrame:
-    """``topic_id, keywords``: the best terms of each topic, best first.
+    """``run_id, topic_id, keywords``: the best terms of each topic, best first.
 
     The counts are stored once, because weights, totals and sizes all read them.
     """
     ranked = ranked_keywords(stored(term_counts(items), "term_counts"), top_n)
     listed = F.array_sort(F.collect_list(F.struct("rank", "term")))
-    return ranked.groupBy("topic_id").agg(F.transform(listed, lambda row: row["term"]).alias("keywords"))
+    return ranked.groupBy(*TOPIC).agg(F.transform(listed, lambda row: row["term"]).alias("keywords"))
 
 
 def reduce_topics(counts: DataFrame, nr_topics: int, volumes: DataFrame | None = None) -> DataFrame:
-    """Map topics onto the ``nr_topics`` largest: ``topic_id, merged_id``.
+    """Map the topics of one run onto the ``nr_topics`` largest: ``topic_id, merged_id``.
 
     The topics with the most items stay (``volumes`` has ``topic_id, volume``; without
     it, those with the most words). Every other one joins the staying topic

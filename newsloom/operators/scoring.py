@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import score
@@ -36,13 +36,22 @@ def score_topics(
     )
 
 
-def by_score(topics: DataFrame) -> DataFrame:
+def _best_first() -> list[Column]:
     """Best score first, a missing one as 0; ties go to the topic seen first."""
-    return topics.orderBy(
-        F.desc(F.coalesce("narrative_signal_score", F.lit(0.0))), F.asc("first_pos"), F.asc("topic_id")
-    )
+    return [F.desc(F.coalesce("narrative_signal_score", F.lit(0.0))), F.asc("first_pos"), F.asc("topic_id")]
+
+
+def by_score(topics: DataFrame) -> DataFrame:
+    """The topics of one run, best first."""
+    return topics.orderBy(*_best_first())
 
 
 def top_topics(topics: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` best-scored topics."""
     return by_score(topics).limit(k)
+
+
+def top_topics_per_run(topics: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` best-scored topics of every run, with their ``rank``."""
+    order = Window.partitionBy("run_id").orderBy(*_best_first())
+    return topics.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

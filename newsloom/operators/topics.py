@@ -109,7 +109,7 @@ def representatives(items: DataFrame, n: int = REPRESENTATIVES) -> DataFrame:
     )
 
 
-def _ranked_list(ranked: DataFrame, *fields: str) -> F.Column:
+def _ranked_list(*fields: str) -> F.Column:
     """The few ranked rows of a group as an array of structs, best first."""
     listed = F.array_sort(F.collect_list(F.struct("rank", *fields)))
     return F.transform(listed, lambda row: F.struct(*[row[field].alias(field) for field in fields]))
@@ -119,14 +119,14 @@ def topic_records(items: DataFrame, keywords: DataFrame, interval: str = "daily"
     """One full record per topic.
 
     ``items`` needs the item columns plus ``topic_id`` and ``pos``; ``keywords``
-    has ``topic_id, keywords``. The parts are all grouped by (run, topic), so
+    has ``run_id, topic_id, keywords``. The parts are all grouped by (run, topic), so
     they are joined where they already lie. Pass ``items`` that are stored (see
     ``newsloom.lineage``): each part reads only its own columns of them.
     """
     domains = (
         ranked_domains(items)
         .groupBy(*TOPIC)
-        .agg(_ranked_list(items, "publisher_domain", "n").alias("ranked"))
+        .agg(_ranked_list("publisher_domain", "n").alias("ranked"))
         .select(
             *TOPIC,
             F.slice(F.transform("ranked", lambda d: d["publisher_domain"]), 1, TOP_DOMAINS).alias("top_domains"),
@@ -141,12 +141,13 @@ def topic_records(items: DataFrame, keywords: DataFrame, interval: str = "daily"
     chosen = (
         representatives(items)
         .groupBy(*TOPIC)
-        .agg(_ranked_list(items, "url", "title", "domain", "published_at", "summary").alias("representative_items"))
+        .agg(_ranked_list("url", "title", "domain", "published_at", "summary").alias("representative_items"))
     )
+    words = keywords.select(*TOPIC, "keywords")
     joined = topic_stats(items).join(domains, [*TOPIC]).join(buckets, [*TOPIC]).join(chosen, [*TOPIC])
     found = F.coalesce("keywords", F.array().cast("array<string>"))
     return (
-        joined.join(keywords.select("topic_id", "keywords"), "topic_id", "left")
+        joined.join(words, [*TOPIC], "left")
         .withColumn("keywords", found)
         .select(
             *TOPIC,

@@ -36,7 +36,7 @@ def bucket_summary(buckets: DataFrame) -> DataFrame:
     )
 
 
-def topic_history(topics: DataFrame, signature: str) -> DataFrame:
+def topic_history(topics: DataFrame, signature: str | Column) -> DataFrame:
     """One topic over all runs, by its signature."""
     return topics.filter(F.col("topic_signature") == signature)
 
@@ -46,7 +46,7 @@ def items_published(items: DataFrame, first: Column, end: Column) -> DataFrame:
     return items.filter((F.col("published_at") >= first) & (F.col("published_at") < end))
 
 
-def items_with(items: DataFrame, column: str, value: str) -> DataFrame:
+def items_with(items: DataFrame, column: str, value: str | Column) -> DataFrame:
     """Items by ``content_hash``, ``topic_signature`` or ``canonical_url``."""
     if column not in ("content_hash", "topic_signature", "canonical_url"):
         raise ValueError(f"items are not looked up by {column!r}")

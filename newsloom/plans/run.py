@@ -155,7 +155,7 @@ def run(
         final_items, top = stored(result.items, "final_items"), stored(result.top_topics, "top_topics")
         result = RunResult(final_items, result.topics, top, stored(result.stats, "stats"))
         if export_to:
-            export_run(final_items.drop("seq", "pos"), top.drop("first_pos"), export_to)
+            export_run(final_items.drop("seq", "pos"), top.drop("first_pos"), export_to, settings.top_k_topics)
         if store:
             store.save_run(run_row(spark, run_id, as_of, settings, "completed", result.stats, feeds=feeds))
             store.save_items(final_items)

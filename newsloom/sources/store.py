@@ -37,17 +37,19 @@ def _write_json(df: DataFrame, path: str, mode: str) -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def export_run(items: DataFrame, topics: DataFrame, path: str) -> None:
-    """One run for people: ``items`` as JSON lines, ``topics`` as one JSON array.
+def export_run(items: DataFrame, topics: DataFrame, path: str, top_k: int = 10) -> None:
+    """One run for people: ``items`` as JSON lines, its ``top_k`` best topics as one JSON array.
 
-    Only the top topics of a run are exported, so the array is short.
+    The array is one row of text, so it is cut here and not left to the caller.
     """
     _write_json(timestamps_as_text(items), f"{path}/items", "overwrite")
-    topics = timestamps_as_text(topics)
-    rendered = F.to_json(F.struct(*topics.columns), {"ignoreNullFields": "false"})
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("narrative_signal_score")).alias("order"), "topic_id", rendered.alias("topic"))))
+    best = topics.orderBy(F.desc(F.coalesce("narrative_signal_score", F.lit(0.0))), F.asc("topic_id")).limit(top_k)
+    best = timestamps_as_text(best)
+    rendered = F.to_json(F.struct(*best.columns), {"ignoreNullFields": "false"})
+    order = -F.coalesce("narrative_signal_score", F.lit(0.0))
+    ranked = F.array_sort(F.collect_list(F.struct(order.alias("order"), "topic_id", rendered.alias("topic"))))
     array = F.concat(F.lit("["), F.array_join(F.transform(ranked, lambda row: row["topic"]), ", "), F.lit("]"))
-    topics.agg(array.alias("value")).write.mode("overwrite").text(f"{path}/topics")
+    best.agg(array.alias("value")).write.mode("overwrite").text(f"{path}/topics")
 
 
 class RunStore:
@@ -146,13 +148,17 @@ class RunStore:
                 fs.delete(path, True)
 
 
+def flat_columns(df: DataFrame) -> DataFrame:
+    """Nested columns as JSON text, for sinks that know plain columns only."""
+    nested = (ArrayType, MapType, StructType)
+    return df.select(
+        *[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema.fields]
+    )
+
+
 def save_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **properties: str) -> None:
     """Write a table to a database; nested columns become JSON text."""
-    nested = (ArrayType, MapType, StructType)
-    flat = [
-        F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema.fields
-    ]
-    df.select(*flat).write.jdbc(url, table, mode=mode, properties=properties)
+    flat_columns(df).write.jdbc(url, table, mode=mode, properties=properties)
 
 
 def load_jdbc(spark: SparkSession, url: str, table: str, **properties: str) -> DataFrame:

@@ -98,7 +98,7 @@ def topic_items(spark, n=200, seed=7):
 
 def test_topic_records(spark):
     rows, items = topic_items(spark)
-    words = spark.createDataFrame([(1, [f"k{i}" for i in range(20)])], "topic_id int, keywords array<string>")
+    words = spark.createDataFrame([("run", 1, [f"k{i}" for i in range(20)])], "run_id string, topic_id int, keywords array<string>")
     records = {r["topic_id"]: r for r in topics.topic_records(items, words, "hourly").collect()}
     assert set(records) == {0, 1, 2}
     for topic, record in records.items():
@@ -136,17 +136,24 @@ def test_noise_handling(spark):
 
 def test_keywords(spark):
     rows = [(0, "Alpha alpha alpha", "beta x"), (0, "beta", "gamma_1"), (1, "beta beta", "delta"), (-1, "omega", "omega")]
-    items = spark.createDataFrame(rows, "topic_id int, title string, summary string")
+    items = spark.createDataFrame(rows, "topic_id int, title string, summary string").withColumn("run_id", F.lit("r1"))
     found = {r["topic_id"]: r["keywords"] for r in keywords.topic_keywords(items).collect()}
     # 3 ln(1 + 4/3) > 1 ln(1 + 4/1) > 2 ln(1 + 4/4), the average topic having 4 words.
     assert found == {0: ["alpha", "gamma_1", "beta"], 1: ["delta", "beta"]}
 
 
+def test_keywords_stay_inside_their_run(spark):
+    rows = [("r1", 0, "alpha", "alpha"), ("r2", 0, "beta", "beta")]
+    items = spark.createDataFrame(rows, "run_id string, topic_id int, title string, summary string")
+    found = {(r["run_id"], r["topic_id"]): r["keywords"] for r in keywords.topic_keywords(items).collect()}
+    assert found == {("r1", 0): ["alpha"], ("r2", 0): ["beta"]}
+
+
 def test_reduce_topics(spark):
     counts = spark.createDataFrame(
         [(0, "a", 50), (0, "b", 50), (1, "c", 40), (1, "d", 40), (2, "c", 3), (3, "b", 2), (4, "z", 1)],
         "topic_id int, term string, n bigint",
-    )
+    ).withColumn("run_id", F.lit("r1"))
     merged = {r["topic_id"]: r["merged_id"] for r in keywords.reduce_topics(counts, 2).collect()}
     assert merged == {0: 0, 1: 1, 2: 1, 3: 0, 4: 0}
 

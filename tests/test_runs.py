@@ -14,7 +14,7 @@ from newsloom.operators import collect
 from newsloom.operators.cluster import ClusterSettings
 from newsloom.plans.run import RunSettings, run
 from newsloom.sources import feeds as feed_source
-from newsloom.sources.store import RunStore
+from newsloom.sources.store import RunStore, flat_columns
 from newsloom.sources.suffixes import suffix_rules
 
 NOW = datetime(2026, 2, 14, tzinfo=timezone.utc)
@@ -199,3 +199,8 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     assert checkpoint_dir(spark) == folder
     path = stored(spark.range(3), "probe").inputFiles()[0]
     assert path.removeprefix("file://").startswith(f"{folder}/probe-")
+
+
+def test_nested_columns_become_json_text(spark):
+    rows = spark.range(1).select("id", F.array(F.lit(1), F.lit(2)).alias("xs"), F.create_map(F.lit("k"), F.lit(3)).alias("m"))
+    assert [tuple(r) for r in flat_columns(rows).collect()] == [(0, "[1,2]", '{"k":3}')]

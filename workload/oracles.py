@@ -100,21 +100,22 @@ stats as (
 
 
 def term_tables(source: str) -> str:
+    """Terms weighed inside each run."""
     return rf"""
 words as (
-  select topic_id, unnest(regexp_extract_all(lower(title || ' ' || summary), '[\p{{L}}\p{{N}}_]{{2,}}')) as term
+  select run_id, topic_id, unnest(regexp_extract_all(lower(title || ' ' || summary), '[\p{{L}}\p{{N}}_]{{2,}}')) as term
   from {source} where topic_id <> -1),
-tf as (select topic_id, term, count(*) as n from words group by topic_id, term),
-totals as (select term, cast(sum(n) as bigint) as total from tf group by term),
-sizes as (select topic_id, cast(sum(n) as bigint) as words from tf group by topic_id),
-average as (select floor(sum(words) / count(*)) as a from sizes),
+tf as (select run_id, topic_id, term, count(*) as n from words group by all),
+totals as (select run_id, term, cast(sum(n) as bigint) as total from tf group by all),
+sizes as (select run_id, topic_id, cast(sum(n) as bigint) as words from tf group by all),
+average as (select run_id, floor(sum(words) / count(*)) as a from sizes group by run_id),
 weights as (
-  select tf.topic_id, tf.term, tf.n, tf.n * ln(1 + average.a / totals.total) as weight
-  from tf join totals using (term) cross join average),
+  select tf.run_id, tf.topic_id, tf.term, tf.n, tf.n * ln(1 + average.a / totals.total) as weight
+  from tf join totals using (run_id, term) join average using (run_id)),
 ranked_terms as (
-  select w.topic_id, w.term, w.weight / s.words as score,
-    row_number() over (partition by w.topic_id order by w.weight desc, w.term) as rank
-  from weights w join sizes s using (topic_id))"""
+  select w.run_id, w.topic_id, w.term, w.weight / s.words as score,
+    row_number() over (partition by w.run_id, w.topic_id order by w.weight desc, w.term) as rank
+  from weights w join sizes s using (run_id, topic_id))"""
 
 
 REPRESENTATIVES = """
@@ -162,8 +163,8 @@ parts as (
       as velocity_score,
     least(100, 60 * avg_source_weight
       + case when unique_domains > 1 then least(40, 15 * log10(unique_domains) + 15) else 0 end) as source_score,
-    cast(case when list_has_any(keywords, ['der', 'on', 'que'])
-      or len(list_filter(titles, lambda t: contains(t, 'der') or contains(t, 'on') or contains(t, 'que'))) > 0
+    cast(case when list_has_any(keywords, ['las', 'und', 'quega'])
+      or len(list_filter(titles, lambda t: contains(t, 'las') or contains(t, 'und') or contains(t, 'quega'))) > 0
       then 80 else 0 end as double) as watchlist_bonus
   from records),
 scored as (
@@ -412,10 +413,10 @@ def topics_of(name: str, where: str) -> str:
     return f"""
 {name}_stats as (
   select run_id, topic_id, count(*) as topic_volume, count(distinct publisher_domain) as unique_domains,
-    avg(source_weight) as avg_source_weight, max(published_at) as last_seen_at
+    avg(source_weight) as avg_source_weight, max(published_at) as last_seen_at, min(pos) as first_pos
   from run_items where topic_id <> -1 and {where} group by 1, 2),
 {name} as (
-  select run_id, {signature("topic_id")} as topic_signature, topic_id, topic_volume, unique_domains,
+  select run_id, {signature("topic_id")} as topic_signature, topic_id, topic_volume, unique_domains, first_pos,
     round(0.25 * least(100, 20 * log10(topic_volume + 1) + 20)
       + 0.35 * least(100, 100 * exp(-(epoch_us(timestamp '2024-01-31 00:00:00') - epoch_us(last_seen_at)) / 3.6e9 / 24))
       + 0.30 * least(100, 60 * avg_source_weight
@@ -509,3 +510,188 @@ with {SCORED}
 select topic_id, format('{{:.1f}}', narrative_signal_score) as score, topic_volume,
   array_to_string(keywords[1:5], ', ') as keywords
 from scored order by narrative_signal_score desc, first_pos limit 5"""
+
+# The chain from items through clusters: items share the vectors of the embeddings.
+CHAIN = f"""{DEDUPED},
+points as (
+  select k.seq as id, [list_avg(embedding[1:13]::double[]), list_avg(embedding[14:26]::double[]),
+    list_avg(embedding[27:39]::double[]), list_avg(embedding[40:52]::double[]),
+    list_avg(embedding[53:64]::double[])] as vector
+  from documents d join kept k on k.seq = d.doc_id
+  join embeddings e on e.vec_id = d.doc_id % (select count(*) from embeddings)),
+near as (
+  select a.id as a, b.id as b from points a cross join points b
+  where list_distance(a.vector, b.vector) <= 0.036),
+core as (select a as id from near group by a having count(*) >= 3),
+edges as (select a, b from near where a in (from core) and b in (from core)),
+reached(id, root) as (
+  select id, id from core
+  union
+  select e.b, r.root from reached r join edges e on e.a = r.id where r.root < e.b),
+roots as (select id, min(root) as root from reached group by id),
+root_sizes as (select root, count(*) as size from roots group by root having count(*) >= 4),
+topic_ids as (select root, row_number() over (order by size desc, root) - 1 as topic_id from root_sizes),
+assigned as (
+  select k.* exclude (topic_id), cast(coalesce(t.topic_id, -1) as int) as topic_id
+  from kept k left join roots r on r.id = k.seq left join topic_ids t using (root))"""
+
+ORACLES["clustered_items_with_noise"] = f"with recursive {CHAIN} select seq, item_id, topic_id from assigned"
+
+ORACLES["clustered_items"] = f"with recursive {CHAIN} select seq, item_id, topic_id from assigned where topic_id <> -1"
+
+ORACLES["degraded_clusters"] = f"""
+with {DEDUPED}
+select cast(1 as bigint) as n, count(*) as in_topic_0, count(*) as n_items, cast(1 as bigint) as n_topics,
+  cast(0 as bigint) as noise_count, 0.0::double as noise_ratio, true as degraded
+from kept"""
+
+REDUCED = f"""{CHAIN},{term_tables("assigned")},
+stays as (
+  select topic_id from assigned where topic_id <> -1 group by topic_id order by count(*) desc, topic_id limit 3),
+norms as (select topic_id, sqrt(sum(weight * weight)) as norm from weights group by topic_id),
+close as (
+  select a.topic_id, b.topic_id as merged_id, round(sum(a.weight * b.weight) / any_value(m.norm), 12) as closeness
+  from weights a join weights b using (term) join norms m on m.topic_id = b.topic_id
+  where a.topic_id not in (from stays) and b.topic_id in (from stays) group by 1, 2),
+nearest as (
+  select *, row_number() over (partition by topic_id order by closeness desc, merged_id) as place from close),
+merged as (
+  select s.topic_id, case when s.topic_id in (from stays) then s.topic_id
+    else coalesce(n.merged_id, (select min(topic_id) from stays)) end as merged_id
+  from sizes s left join nearest n on n.topic_id = s.topic_id and n.place = 1),
+joined as (select a.*, m.merged_id from assigned a join merged m using (topic_id)),
+renumbered as (
+  select merged_id, cast(row_number() over (order by count(*) desc, min(pos)) - 1 as int) as new_id from joined group by 1)"""
+
+ORACLES["reduced_run"] = f"""
+with recursive {REDUCED}
+select seq, item_id, new_id as topic_id from joined join renumbered using (merged_id)"""
+
+ORACLES["reduced_run_statistics"] = f"""
+with recursive {REDUCED}
+select (select count(*) from items) as fetched_count, count(*) as deduped_count,
+  (select count(*) from renumbered) as topic_count,
+  round(count(*) filter (topic_id = -1) / count(*), 9) as noise_ratio,
+  coalesce(round(count(*) filter (topic_id <> -1 and not has_summary) / nullif(count(*) filter (topic_id <> -1), 0), 9), 0)
+    as missing_summary_ratio
+from assigned"""
+
+ORACLES["run_keywords"] = f"""
+with {RUN_ITEMS},{term_tables("run_items")}
+select run_id, topic_id, cast(rank as int) as rank, term, round(score, 9) as score from ranked_terms where rank <= 15"""
+
+ORACLES["run_top_topics"] = f"""
+with {RUN_ITEMS},{topics_of("found", "true")},
+ranked as (
+  select *, row_number() over (partition by run_id order by narrative_signal_score desc, first_pos, topic_id) as rank from found)
+select run_id, cast(rank as int) as rank, topic_id, topic_volume, narrative_signal_score from ranked where rank <= 2"""
+
+ORACLES["items_by_hash"] = f"""
+with {RUN_ITEMS}
+select run_id, item_id, content_hash from run_items where content_hash = (select min(content_hash) from run_items)"""
+
+ORACLES["items_by_signature"] = f"""
+with {RUN_ITEMS} select run_id, item_id from run_items where topic_id = 5"""
+
+ORACLES["runs_by_status"] = f"""
+with {RUN_ITEMS}
+select run_id, 'completed' as status, count(*) as fetched_count from run_items
+where run_id in (select run_id from run_items where not early) group by run_id"""
+
+ORACLES["buckets_in_range"] = f"""
+with {RUN_ITEMS},{buckets_of("buckets", "published_at")}
+select run_id, topic_signature, {BUCKET_START} as bucket_start, n from buckets
+where bucket_start >= timestamp '2024-01-10' and bucket_start < timestamp '2024-01-12'"""
+
+ORACLES["orphan_items"] = f"""
+with {RUN_ITEMS}
+select run_id, item_id from run_items where run_id not in (select run_id from run_items where source_weight >= 0.6)"""
+
+ORACLES["orphan_topics"] = f"""
+with {RUN_ITEMS},{topics_of("found", "true")}
+select run_id, topic_signature, topic_volume from found
+where run_id not in (select run_id from run_items where source_weight >= 0.6)"""
+
+STORED_ITEMS = f"""
+with {RUN_ITEMS}
+select item_id, run_id, canonical_url, {iso("published_at")} as published_at, '2024-01-31T00:00:00+00:00' as fetched_at,
+  source_weight, case when early then title else 'again: ' || title end as title, summary, has_summary, text_len,
+  content_hash, topic_id, topic_signature, source_name as publisher_name, cast(null as varchar) as market
+from run_items where run_id = 'src3'"""
+ORACLES["stored_items"] = ORACLES["stored_items_json"] = STORED_ITEMS
+
+# Topic records of every run; the signature has the first ten keywords and five domains.
+RUN_RECORDS = f"""{RUN_ITEMS},{topics_of("found", "true")},{term_tables("run_items")},
+keyword_lists as (
+  select run_id, topic_id, list(term order by rank) as keywords from ranked_terms where rank <= 15 group by all),
+domain_ranks as (
+  select *, row_number() over (partition by run_id, topic_id order by n desc, first_pos) as rank
+  from (select run_id, topic_id, publisher_domain, count(*) as n, min(pos) as first_pos
+        from run_items where topic_id <> -1 group by all)),
+domain_lists as (
+  select run_id, topic_id, list(publisher_domain order by rank) as domains from domain_ranks where rank <= 5 group by all),
+chosen as (
+  select run_id, topic_id, string_agg(canonical_url, ' ' order by place) as representative_urls
+  from (select *, row_number() over (
+          partition by run_id, topic_id order by source_weight desc, published_at desc, pos) as place
+        from run_items where topic_id <> -1)
+  where place <= 5 group by all),
+records as (
+  select s.run_id, s.topic_id, s.topic_volume, s.unique_domains, s.avg_source_weight, s.last_seen_at,
+    sha256('{{"kw": [' || coalesce(array_to_string(list_transform(k.keywords[1:10], lambda x: '"' || x || '"'), ', '), '')
+      || '], "pub": [' || array_to_string(list_transform(d.domains, lambda x: '"' || x || '"'), ', ') || ']}}')
+      as topic_signature,
+    coalesce(array_to_string(k.keywords, ' '), '') as top_keywords, array_to_string(d.domains, ' ') as top_domains,
+    c.representative_urls, f.narrative_signal_score
+  from found_stats s join found f using (run_id, topic_id) left join keyword_lists k using (run_id, topic_id)
+  join domain_lists d using (run_id, topic_id) join chosen c using (run_id, topic_id)),
+unique_records as (
+  select * from records
+  qualify row_number() over (partition by run_id, topic_signature order by narrative_signal_score desc, topic_id) = 1)"""
+
+STORED_TOPICS = f"""
+with {RUN_RECORDS}
+select run_id, topic_id, topic_signature, top_keywords,
+  topic_volume + case when topic_volume > 3 then 1000 else 0 end as topic_volume, unique_domains,
+  round(avg_source_weight, 9) as avg_source_weight, {iso("last_seen_at")} as last_seen_at, representative_urls, top_domains,
+  narrative_signal_score
+from unique_records where run_id = 'src3'"""
+ORACLES["stored_topics"] = ORACLES["stored_topics_json"] = STORED_TOPICS
+
+STORED_BUCKETS = """
+stored_buckets as (
+  select run_id, u.topic_signature, date_trunc('day', published_at) as bucket_start, count(*) as n
+  from run_items i join unique_records u using (run_id, topic_id) group by all)"""
+
+ORACLES["stored_buckets"] = f"""
+with {RUN_RECORDS},{STORED_BUCKETS}
+select run_id, topic_signature, {BUCKET_START} as bucket_start, n from stored_buckets"""
+
+ORACLES["exported_items"] = f"""
+with {RUN_ITEMS}
+select item_id, title, replace({iso("published_at")}, 'T', ' ') as published_at, topic_id from run_items where run_id = 'src3'"""
+
+ORACLES["exported_topics"] = f"""
+with {RUN_RECORDS}
+select cast(row_number() over (order by narrative_signal_score desc, topic_id) - 1 as int) as place, run_id, topic_id,
+  topic_signature, topic_volume, replace({iso("last_seen_at")}, 'T', ' ') as last_seen_at, narrative_signal_score
+from records where run_id = 'src3' order by narrative_signal_score desc, topic_id limit 3"""
+
+ORACLES["purged_tables"] = f"""
+with {RUN_RECORDS},{STORED_BUCKETS},
+everything as (
+  select 'runs' as stored_in, run_id from run_items group by all
+  union all select 'items', run_id from run_items
+  union all select 'topics', run_id from unique_records
+  union all select 'topic_buckets', run_id from stored_buckets)
+select stored_in, run_id, count(*) as n_rows from everything where run_id not in ('src1', 'src2') group by all"""
+
+ORACLES["flat_topics"] = f"""
+with {RUN_RECORDS},
+days as (
+  select run_id, topic_id, strftime(published_at, '%Y-%m-%d') as bucket_start, count(*) as n from run_items group by all),
+listed as (
+  select run_id, topic_id, '[' || string_agg('{{"bucket_start":"' || bucket_start || '","count":' || n || '}}', ',' order by bucket_start)
+    || ']' as counts_by_bucket
+  from days group by all)
+select run_id, topic_signature, counts_by_bucket from records join listed using (run_id, topic_id)"""

@@ -6,23 +6,28 @@ compared value by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import text, times, url
-from newsloom.lineage import stored
+from newsloom.lineage import checkpoint_dir, stored
 from newsloom.operators import cluster, collect, dedupe, density, keywords, scoring, topics, upsert
 from newsloom.plans import reports
-from newsloom.schemas import KEYS, REPLACED
+from newsloom.plans.run import TOPIC_PAYLOAD, RunResult, RunSettings, mine_topics
+from newsloom.schemas import KEYS, REPLACED, TOPICS
 from newsloom.sources import feeds
+from newsloom.sources.store import RunStore, export_run, flat_columns
 from newsloom.sources.suffixes import suffix_rules
 from workload.items import as_of, entries, items, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-WATCHED_KEYWORDS, WATCHED_TICKERS = ["Der", "on"], ["QUE"]
+# Some topics have them as keywords, some only in titles, some not at all.
+WATCHED_KEYWORDS, WATCHED_TICKERS = ["las", "Und"], ["QUEGA"]
 FEED_LIMIT = 20
 LOOKBACK_DAYS = 7
 
@@ -186,7 +191,7 @@ def representative_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def term_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keywords.corpus_terms(keywords.term_counts(items(spark, sf_dir)))
+    return keywords.corpus_terms(keywords.term_counts(items(spark, sf_dir))).select("term", "total")
 
 
 @query
@@ -283,6 +288,64 @@ def text_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered.select("seq", "item_id", "topic_id")
 
 
+# Wider than EPS: documents that share an embedding fill some cells, others are sparse.
+CHAIN = cluster.ClusterSettings(min_topic_size=6, min_cluster_size=4, min_samples=3, eps=0.036, components=DIMS)
+REDUCED = 3
+
+
+def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reduced embedding of each document; several documents share one."""
+    vectors = block_means(spark, sf_dir)
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    n = vectors.agg(F.count("*")).scalar()
+    # the documents are the larger side, an embedding a short row
+    keyed = documents.withColumn("vec_id", F.col("id") % n)
+    return keyed.join(vectors.withColumnRenamed("id", "vec_id"), "vec_id").select("id", "vector")
+
+
+def clustered(spark: SparkSession, sf_dir: str, noise: str) -> DataFrame:
+    kept = stored(narrow_items(spark, sf_dir).drop("topic_id"), "items")
+    return cluster.cluster_items(kept, CHAIN, noise_handling=noise, vectors=item_vectors(spark, sf_dir))[0]
+
+
+@query
+def clustered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated items through clustering, without their noise."""
+    return clustered(spark, sf_dir, "drop").select("seq", "item_id", "topic_id")
+
+
+@query
+def clustered_items_with_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(spark, sf_dir, "keep").select("seq", "item_id", "topic_id")
+
+
+@query
+def degraded_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fewer items than the least number to cluster: one topic, marked so."""
+    kept = stored(narrow_items(spark, sf_dir).drop("topic_id"), "items")
+    single, stats = cluster.cluster_items(kept, CHAIN, min_items_to_cluster=1 << 40)
+    members = single.agg(F.count_distinct("topic_id").alias("n"), F.count_if(F.col("topic_id") == 0).alias("in_topic_0"))
+    return stats.withColumns({c: members.select(c).scalar() for c in ("n", "in_topic_0")})
+
+
+def mined(spark: SparkSession, sf_dir: str) -> RunResult:
+    """A whole run over the items, its topics reduced to a few."""
+    found = items(spark, sf_dir).drop("topic_id")
+    settings = RunSettings(clustering=replace(CHAIN, nr_topics=REDUCED))
+    return mine_topics(stored(found, "items"), as_of(), settings, item_vectors(spark, sf_dir))
+
+
+@query
+def reduced_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mined(spark, sf_dir).items.select("seq", "item_id", "topic_id")
+
+
+@query
+def reduced_run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = mined(spark, sf_dir).stats
+    return stats.withColumns({c: F.round(c, 9) for c in ("noise_ratio", "missing_summary_ratio")})
+
+
 # Feeds ----------------------------------------------------------------------
 
 
@@ -525,7 +588,7 @@ def bucket_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One signature over all runs."""
     found = stored(run_items(spark, sf_dir), "items")
-    one = found.filter(F.col("topic_id") == 3).select(F.min("topic_signature")).first()[0]
+    one = SIGNATURE(F.array(F.lit("topic3")), F.array().cast("array<string>"))
     return reports.topic_history(topics_of(found), one).select("run_id", "topic_volume", "narrative_signal_score")
 
 
@@ -548,3 +611,201 @@ def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.run_summary(scored_topics(spark, sf_dir))
+
+
+@query
+def run_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords of the topics of several runs, each weighed inside its run."""
+    found = stored(run_items(spark, sf_dir, narrow=False), "items")
+    counts = stored(keywords.term_counts(found), "term_counts")
+    return keywords.ranked_keywords(counts).select("run_id", "topic_id", "rank", "term", F.round("score", 9).alias("score"))
+
+
+@query
+def run_top_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two best topics of every run."""
+    found = stored(run_items(spark, sf_dir), "items")
+    best = scoring.top_topics_per_run(scoring.score_topics(topics.topic_stats(found), as_of()), 2)
+    return best.select("run_id", "rank", "topic_id", "topic_volume", "narrative_signal_score")
+
+
+@query
+def items_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(run_items(spark, sf_dir).select("run_id", "item_id", "content_hash"), "items")
+    return reports.items_with(found, "content_hash", found.agg(F.min("content_hash")).scalar())
+
+
+@query
+def items_by_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = SIGNATURE(F.array(F.lit("topic5")), F.array().cast("array<string>"))
+    return reports.items_with(run_items(spark, sf_dir), "topic_signature", one).select("run_id", "item_id")
+
+
+@query
+def runs_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs with items in the second half of the month are completed."""
+    found = stored(run_items(spark, sf_dir), "items")
+    before, after = runs_of(found, "running"), runs_of(found.filter(~is_early()), "completed")
+    merged = upsert.merge_upsert(before, after, ["run_id"], ["status"])
+    return reports.runs_with_status(merged, "completed").select("run_id", "status", "fetched_count")
+
+
+@query
+def buckets_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, end = [F.lit(f"2024-01-{day}T00:00:00+00:00").cast("timestamp") for day in ("10", "12")]
+    found = reports.buckets_between(buckets_of(run_items(spark, sf_dir)), first, end)
+    return found.select("run_id", "topic_signature", shown("bucket_start").alias("bucket_start"), F.col("count").alias("n"))
+
+
+@query
+def orphan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items whose run is not stored: here the runs of heavy feeds are."""
+    found = stored(run_items(spark, sf_dir), "items")
+    runs = runs_of(found.filter(F.col("source_weight") >= 0.6), "completed")
+    return upsert.fk_violations(found, runs, KEYS["runs"]).select("run_id", "item_id")
+
+
+@query
+def orphan_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(run_items(spark, sf_dir), "items")
+    runs = runs_of(found.filter(F.col("source_weight") >= 0.6), "completed")
+    return upsert.fk_violations(topics_of(found), runs, KEYS["runs"]).select("run_id", "topic_signature", "topic_volume")
+
+
+# Tables written and read back ------------------------------------------------
+
+
+def fresh_folder(spark: SparkSession, label: str) -> str:
+    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def storable_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the item table; every feed is a run."""
+    payload = F.struct(
+        F.col("source_name").alias("publisher_name"), F.lit("news").alias("category"), F.lit(None).cast("string").alias("market"),
+        F.lit("en").alias("language"), F.col("link").alias("original_link"),
+    )
+    found = run_items(spark, sf_dir, narrow=False).withColumns({"fetched_at": as_of(), "json_payload": payload})
+    return stored(found, "items")
+
+
+def storable_topics(found: DataFrame) -> DataFrame:
+    """All columns of the topic table."""
+    records = topics.topic_records(found, keywords.topic_keywords(found))
+    scored = scoring.score_topics(records, as_of())
+    return stored(scored.withColumn("json_payload", F.struct(*TOPIC_PAYLOAD)).drop(*TOPIC_PAYLOAD), "topics")
+
+
+def storable_runs(found: DataFrame) -> DataFrame:
+    counted = found.groupBy("run_id").agg(F.max("published_at").alias("generated_at"), F.count("*").alias("n"))
+    names = ("fetched_count", "deduped_count", "topic_count", "noise_ratio", "missing_summary_ratio", "error")
+    stats = F.struct(F.col("n").alias(names[0]), *[F.lit(None).alias(name) for name in names[1:]])
+    return counted.select(
+        "run_id", "generated_at", F.lit(7).alias("lookback_days"), F.lit("0").alias("config_hash"),
+        F.lit("completed").alias("status"), stats.alias("stats"),
+    )
+
+
+def read_back_items(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    """Items written twice, the second time all of them under other titles; one run read."""
+    store = RunStore(spark, fresh_folder(spark, "store"), fmt)
+    found = storable_items(spark, sf_dir)
+    store.save_items(found.filter(is_early()))
+    store.save_items(found.withColumn("title", F.concat(F.lit("again: "), "title")))
+    return store.read_items("src3").select(
+        "item_id", "run_id", "canonical_url", shown("published_at").alias("published_at"), shown("fetched_at").alias("fetched_at"),
+        "source_weight", "title", "summary", "has_summary", "text_len", "content_hash", "topic_id", "topic_signature",
+        F.col("json_payload.publisher_name").alias("publisher_name"), F.col("json_payload.market").alias("market"),
+    )
+
+
+@query
+def stored_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_back_items(spark, sf_dir, "parquet")
+
+
+@query
+def stored_items_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_back_items(spark, sf_dir, "json")
+
+
+def read_back_topics(spark: SparkSession, sf_dir: str, fmt: str) -> RunStore:
+    """Topics written twice; the second write changes volume and domains, of which only the volume counts."""
+    store = RunStore(spark, fresh_folder(spark, "store"), fmt)
+    found = storable_topics(storable_items(spark, sf_dir))
+    store.save_topics(found)
+    more = {c: F.col(c) + 1000 for c in ("topic_volume", "unique_domains")}
+    store.save_topics(found.filter("topic_volume > 3").withColumns(more))
+    return store
+
+
+def shown_topics(found: DataFrame) -> DataFrame:
+    return found.select(
+        "run_id", "topic_id", "topic_signature", F.array_join("top_keywords", " ").alias("top_keywords"), "topic_volume",
+        "unique_domains", F.round("avg_source_weight", 9).alias("avg_source_weight"), shown("last_seen_at").alias("last_seen_at"),
+        F.array_join(F.transform("representative_items", lambda r: r["url"]), " ").alias("representative_urls"),
+        F.array_join("json_payload.top_domains", " ").alias("top_domains"), "narrative_signal_score",
+    )
+
+
+@query
+def stored_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown_topics(read_back_topics(spark, sf_dir, "parquet").read_topics("src3"))
+
+
+@query
+def stored_topics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown_topics(read_back_topics(spark, sf_dir, "json").read_topics("src3"))
+
+
+@query
+def stored_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read_back_topics(spark, sf_dir, "parquet").read("topic_buckets")
+    return found.select("run_id", "topic_signature", shown("bucket_start").alias("bucket_start"), F.col("count").alias("n"))
+
+
+@query
+def exported_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run's items as exported JSON lines, their times as the text in the files."""
+    found = storable_items(spark, sf_dir).filter("run_id = 'src3'")
+    folder = fresh_folder(spark, "export")
+    export_run(found.drop("pos", "link"), storable_topics(found), folder)
+    lines = spark.read.schema("item_id string, title string, published_at string, topic_id int").json(f"{folder}/items")
+    return lines
+
+
+@query
+def exported_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best topics of one run as the exported JSON array."""
+    found = storable_items(spark, sf_dir).filter("run_id = 'src3'")
+    folder = fresh_folder(spark, "export")
+    export_run(found.drop("pos", "link"), storable_topics(found), folder, 3)
+    parsed = F.from_json("value", f"array<struct<{TOPICS.replace(' timestamp,', ' string,')}>>")
+    array = spark.read.text(f"{folder}/topics").select(F.posexplode(parsed).alias("place", "topic"))
+    return array.select(
+        "place", "topic.run_id", "topic.topic_id", "topic.topic_signature", "topic.topic_volume",
+        "topic.last_seen_at", "topic.narrative_signal_score",
+    )
+
+
+@query
+def purged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per run left in all four tables after two runs are purged."""
+    found = storable_items(spark, sf_dir)
+    store = RunStore(spark, fresh_folder(spark, "store"))
+    store.save_run(storable_runs(found))
+    store.save_items(found)
+    store.save_topics(storable_topics(found))
+    store.purge(["src1", "src2"])
+    left = [
+        store.read(name).groupBy("run_id").agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stored_in"), "run_id", "n_rows")
+        for name in ("runs", "items", "topics", "topic_buckets")
+    ]
+    return left[0].unionByName(left[1]).unionByName(left[2]).unionByName(left[3])
+
+
+@query
+def flat_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics as plain columns, nested values as JSON text, as a database takes them."""
+    found = storable_topics(stored(run_items(spark, sf_dir, narrow=False), "items"))
+    return flat_columns(found).select("run_id", "topic_signature", "counts_by_bucket")
