@@ -27,8 +27,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that fail the fixed limits or the learned verdict."""
-    return rules.kept_documents(docs, rules.fit_quality(docs, table(spark, sf_dir, "labels")))
+    """Drop the documents that fail the fixed limits or the learned verdict.
+
+    The verdict is fitted on all documents: the stage before has taken the bad ones from ``docs``.
+    """
+    model = rules.fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rules.kept_documents(docs, model)
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.lineage import stored
 from newsloom.llm.words import Words, mixed, slices, utf8, words_of
 
 _SYMBOLS = np.zeros(256, dtype=bool)
@@ -27,7 +28,7 @@ class QualityRules:
     """Limits of the fixed rules, and the shape of the learned one.
 
     ``sample_per_class`` bounds the labelled rows of each class that the fit
-    reads (those with the least hash of their id); everything else sees all rows.
+    reads (of the ids that the documents have, those with the least hash); everything else sees all rows.
     """
 
     least_words: int = 20
@@ -97,18 +98,22 @@ def _features(texts: pa.Array, words: Words, how: QualityRules) -> Iterator[tupl
         yield (mixed(grams[inside]) & slots).astype(np.int64), owners[:last][inside]
 
 
-def _sample(documents: DataFrame, labels: DataFrame, how: QualityRules) -> DataFrame:
+def _labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, label, n`` of the labelled ids that ``n`` rows of the documents have; an id with both labels counts as bad."""
+    known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    there = documents.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("n"))
+    return stored(there.join(known.agg(F.min("quality").cast("int").alias("label")), "doc_id"), "quality-labels")
+
+
+def _sample(documents: DataFrame, labelled: DataFrame, how: QualityRules) -> DataFrame:
     """``label, text, calibrates`` of the bounded labelled sample."""
-    known = labels.filter("doc_id is not null and quality in (0, 1)").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")
-    )
     picked = [
-        known.filter(F.col("label") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.sample_per_class)
+        labelled.filter(F.col("label") == side).select("doc_id", "label").orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.sample_per_class)
         for side in (0, 1)
     ]
     # at most 2 * sample_per_class short rows
-    ids = F.broadcast(picked[0].union(picked[1]).dropDuplicates(["doc_id"]))
-    return documents.select("doc_id", "text").join(ids, "doc_id").select(
+    ids = F.broadcast(picked[0].union(picked[1]))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id").select(
         "label", "text", (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("calibrates")
     )
 
@@ -169,11 +174,13 @@ class QualityModel:
 def fit_quality(documents: DataFrame, labels: DataFrame, how: QualityRules | None = None) -> QualityModel:
     """Fit on the bounded sample, in one task; a quarter of it calibrates.
 
-    Without both classes every probability is the share of good labels, or 1
+    Only labels of ids among ``documents`` count, so these are all documents, also
+    where the model is applied to some of them. Without both classes every probability is the share of good labels, or 1
     without labels at all.
     """
     how = how or QualityRules()
-    shares = {int(r[0]): int(r[1]) for r in labels.filter("quality in (0, 1)").groupBy("quality").count().collect()}
+    known = _labelled(documents, labels)
+    shares = {int(r[0]): int(r[1]) for r in known.groupBy("label").agg(F.sum("n")).collect()}
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots: list[np.ndarray] = []
@@ -218,7 +225,7 @@ def fit_quality(documents: DataFrame, labels: DataFrame, how: QualityRules | Non
             ["weights", "slope", "shift"],
         )
 
-    row = _sample(documents, labels, how).coalesce(1).mapInArrow(fit, "weights binary, slope double, shift double").first()
+    row = _sample(documents, known, how).coalesce(1).mapInArrow(fit, "weights binary, slope double, shift double").first()
     if row is None:
         return QualityModel(np.zeros((1 << how.hash_bits) + 1), 1.0, 40.0)
     return QualityModel(np.frombuffer(row["weights"], np.float32).astype(float), row["slope"], row["shift"])

@@ -286,6 +286,16 @@ def test_rules_without_labels_or_rows(documents, empty, spark):
     assert rules.quality_rules(empty, rules.fit_quality(empty, none)).collect() == []
 
 
+def test_labels_of_missing_documents_take_no_place_in_the_fit(spark):
+    docs, labels, truth = labelled(spark)
+    missing = spark.range(10_000, 15_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    how = rules.QualityRules(sample_per_class=50)
+    want = rules.fit_quality(docs, labels, how)
+    got = rules.fit_quality(docs, labels.select("doc_id", "quality").unionByName(missing), how)
+    np.testing.assert_allclose(got.weights, want.weights, rtol=1e-4, atol=1e-6)
+    assert (got.slope, got.shift) == pytest.approx((want.slope, want.shift), rel=1e-4)
+
+
 def test_classifier_on_held_out_rows(spark, documents, texts):
     docs, labels, truth = labelled(spark, 600)
     table = classifier.stored_statistics(docs)

@@ -46,3 +46,13 @@ def test_pipeline_stages_take_effect(spark):
     assert near.near_duplicates(docs, near.Sketching(shingle=5)).filter("doc_id <> component_id").isEmpty()
     ids = sorted(r.doc_id for r in corpus_pipeline.run(spark, SF_DIR).select("doc_id").collect())
     assert ids == sorted(r.doc_id for r in docs.select(F.col("doc_id")).collect())
+
+
+def test_pipeline_rules_are_fitted_on_documents_dropped_before(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    bad = spark.read.parquet(f"{SF_DIR}/labels.parquet").filter("quality = 0").select("doc_id")
+    left = docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    judged = QUERIES["op3_quality_rules"](spark, SF_DIR).join(left.select("doc_id"), "doc_id").collect()
+    assert any(not r.kept and not r.base_failed for r in judged)
+    got = corpus_pipeline.quality_rules(spark, left, SF_DIR)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in judged if r.kept)
