@@ -104,7 +104,8 @@ class WordIds:
         self._tokenizer, self._most = Tokenizer.from_file(path), most
         self._settled = Tokenizer(self._tokenizer.model)
         self._settled.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self._specials = [x.content for x in self._tokenizer.get_added_tokens_decoder().values()]
+        specials = [x.content for x in self._tokenizer.get_added_tokens_decoder().values()]
+        self._specials = pc.ascii_lower(pa.array(specials, pa.string())).to_pylist()
         self._clear()
 
     def _clear(self) -> None:
@@ -138,8 +139,9 @@ class WordIds:
         """All ids, and the number of ids of each text."""
         if len(self._hashes) > self._most:
             self._clear()
-        # special tokens are matched before case is folded
-        plain = not any(pc.any(pc.match_substring(texts, x)).as_py() for x in self._specials)
+        # special tokens are matched before case is folded, and folding must not make new ones
+        lower = pc.ascii_lower(texts)
+        plain = not any(pc.any(pc.match_substring(lower, x)).as_py() for x in self._specials)
         words = words_of(texts, fold=plain, cut_stops=plain)
         hashes, firsts, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self._hashes, hashes), max(len(self._hashes) - 1, 0))

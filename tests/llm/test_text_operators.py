@@ -226,6 +226,18 @@ def test_token_files_round_trip(documents, texts, spark):
     assert sums == {(s, zlib.crc32(struct.pack(f"<{n}I", *ids))) for _, s, n, ids in expected}
 
 
+@pytest.mark.parametrize("text", ["a <|EndOfText|> b", "x<|STARTOFTEXT|>y", "<|endoftext|> <|EndOfText|>", "Plain, WORDS."])
+def test_word_ids_equal_whole_texts_around_special_tokens(text):
+    tokenizer = Tokenizer.from_file(WORDS)
+    encoder = packed.WordIds(WORDS)
+    # what is held from one slice must not change the next
+    for some in ([text], ["<|endoftext|>", text], ["Plain, WORDS.", text], [text, None]):
+        ids, sizes = encoder.encode(pa.array(some, pa.string()))
+        expected = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert sizes.tolist() == [len(x) for x in expected]
+        assert ids.tolist() == [i for x in expected for i in x]
+
+
 def test_token_files_of_nothing(empty):
     assert packed.read_token_files(packed.write_token_files(empty, WORDS, END_ID)).collect() == []
 
