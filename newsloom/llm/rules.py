@@ -106,7 +106,7 @@ def _labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _sample(documents: DataFrame, labelled: DataFrame, how: QualityRules) -> DataFrame:
-    """``label, text, calibrates`` of the bounded labelled sample."""
+    """``doc_id, label, text, calibrates`` of the bounded labelled sample."""
     picked = [
         labelled.filter(F.col("label") == side).select("doc_id", "label").orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.sample_per_class)
         for side in (0, 1)
@@ -114,7 +114,7 @@ def _sample(documents: DataFrame, labelled: DataFrame, how: QualityRules) -> Dat
     # at most 2 * sample_per_class short rows
     ids = F.broadcast(picked[0].union(picked[1]))
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id").select(
-        "label", "text", (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("calibrates")
+        "doc_id", "label", "text", (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("calibrates")
     )
 
 
@@ -225,7 +225,9 @@ def fit_quality(documents: DataFrame, labels: DataFrame, how: QualityRules | Non
             ["weights", "slope", "shift"],
         )
 
-    row = _sample(documents, known, how).coalesce(1).mapInArrow(fit, "weights binary, slope double, shift double").first()
+    # all tasks look for the sample, and only the sample moves; sorted, as sums depend on the order
+    sample = _sample(documents, known, how).repartition(1).sortWithinPartitions("doc_id", "text")
+    row = sample.mapInArrow(fit, "weights binary, slope double, shift double").first()
     if row is None:
         return QualityModel(np.zeros((1 << how.hash_bits) + 1), 1.0, 40.0)
     return QualityModel(np.frombuffer(row["weights"], np.float32).astype(float), row["slope"], row["shift"])

@@ -14,6 +14,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark import AccumulatorParam, TaskContext
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -308,6 +309,28 @@ def test_labels_of_missing_documents_take_no_place_in_the_fit(spark):
     assert (got.slope, got.shift) == pytest.approx((want.slope, want.shift), rel=1e-4)
 
 
+class Lists(AccumulatorParam):
+    def zero(self, value):
+        return []
+
+    def addInPlace(self, value1, value2):
+        return value1 + value2
+
+
+def test_no_single_task_reads_all_documents_for_the_fit(spark):
+    docs, labels, _ = labelled(spark)
+    seen = spark.sparkContext.accumulator([], Lists())
+
+    def read(batches):
+        context = TaskContext.get()
+        seen.add([(context.stageId(), context.partitionId())])
+        yield from batches
+
+    rules.fit_quality(docs.repartition(5).mapInArrow(read, docs.schema), labels)
+    stages = {s for s, _ in seen.value}
+    assert stages and all({p for s, p in seen.value if s == stage} == set(range(5)) for stage in stages)
+
+
 def test_classifier_on_held_out_rows(spark, documents, texts):
     docs, labels, truth = labelled(spark, 600)
     table = classifier.stored_statistics(docs)
