@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import chat, classifier, counts, leaks, lm, near, packed, pieces, rules, warc
+from newsloom.llm import align, chat, classifier, counts, leaks, lm, near, packed, packing, pieces, repair, rules, warc
 from newsloom.lineage import stored
 from newsloom.llm.shipping import ship_package
 from newsloom.llm.sql import ORACLES
@@ -93,6 +93,23 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.read_digests(manifest)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.aligned_counts(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
+# The id that ends a document in a packed sequence.
+SEPARATOR_ID = 0
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), WORDS, SEPARATOR_ID, digest=True)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair_conversations(repair.damaged(conversations), conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_token_counts": op2_token_counts,
@@ -104,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_ids": op10_token_ids,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
