@@ -322,6 +322,14 @@ assigned as (
 
 ORACLES["density_topics"] = f"with recursive {CLUSTERS} select id, topic_id from assigned"
 
+ORACLES["nearest_neighbours"] = """
+with pairs as (
+  select a.vec_id, b.vec_id as other_id, list_distance(a.embedding::double[], b.embedding::double[]) as distance
+  from embeddings a join embeddings b on a.vec_id <> b.vec_id),
+ranked as (select *, row_number() over (partition by vec_id order by distance, other_id) as place from pairs)
+select vec_id, cast(place as int) as place, other_id, round(distance, 6) as distance, 1.0::double as recall
+from ranked where place <= 10"""
+
 ORACLES["cluster_statistics"] = f"""
 with recursive {CLUSTERS}
 select count(*) as n_items, count(distinct topic_id) filter (topic_id <> -1) as n_topics,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text, times, url
 from newsloom.lineage import checkpoint_dir, stored
-from newsloom.operators import cluster, collect, dedupe, density, keywords, scoring, topics, upsert
+from newsloom.operators import cluster, collect, dedupe, density, hierarchy, keywords, neighbours, scoring, topics, upsert
 from newsloom.plans import reports
 from newsloom.plans.run import TOPIC_PAYLOAD, RunResult, RunSettings, mine_topics
 from newsloom.schemas import KEYS, REPLACED, TOPICS
@@ -288,6 +288,29 @@ def text_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered.select("seq", "item_id", "topic_id")
 
 
+NEAREST = 10
+
+
+def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+
+
+@query
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest embeddings of every embedding, all 64 values; exact up to one bucket of points."""
+    found = neighbours.neighbours_to_recall(embedding_vectors(spark, sf_dir), NEAREST)
+    listed = found.select(F.col("id").alias("vec_id"), "recall", F.posexplode("near").alias("place", "x"))
+    return listed.select(
+        "vec_id", (F.col("place") + 1).alias("place"), F.col("x.id").alias("other_id"), F.round("x.distance", 6).alias("distance"), "recall"
+    )
+
+
+@query
+def hierarchical_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the embeddings at every density."""
+    return hierarchy.hierarchical_clusters(block_means(spark, sf_dir), MIN_SAMPLES, MIN_CLUSTER_SIZE)
+
+
 # Wider than EPS: documents that share an embedding fill some cells, others are sparse.
 CHAIN = cluster.ClusterSettings(min_topic_size=6, min_cluster_size=4, min_samples=3, eps=0.036, components=DIMS)
 REDUCED = 3
