@@ -8,8 +8,8 @@ more often the more two sets share, so bands of registers are bucket keys.
 
 Work is split so that no group is gathered and no pair list is made:
 
-* Documents with equal sets are one class; only its least id goes on.
-* In each bucket every member is compared with the bucket's least id: estimated
+* Documents with equal sets are one class, and only classes go on.
+* In each bucket every member is compared with the bucket's first class: estimated
   from both sketches by maximum likelihood, then verified on full sets.
 * What a bucket still holds under different labels is compared with the bucket's
   most frequent label, in blocks of sets, so that no link is lost. Only links
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from newsloom.lineage import stored
 from newsloom.llm.words import mixed, slices, words_of
-from newsloom.operators.components import connected_components
+from newsloom.operators.components import connected_components, numbered
 
 
 @dataclass(frozen=True)
@@ -147,7 +147,7 @@ def _similar(shared: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, how: Sketchin
 
 
 def sketch_table(documents: DataFrame, how: Sketching) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b, keys``: set size, 128-bit hash of the set, band keys."""
+    """``doc_id, mark, n_shingles, set_a, set_b, keys``: hash of the text, set size, 128-bit hash of the set, band keys."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,16 +162,20 @@ def sketch_table(documents: DataFrame, how: Sketching) -> DataFrame:
                     pa.array(np.concatenate([[0], np.cumsum(kept)]), pa.int32()), pa.array(keys[sizes > 0].view(np.int64).ravel())
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes.astype(np.int64)), *map(pa.array, whole), lists],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "keys"],
+                    [part.column("doc_id"), part.column("mark"), pa.array(sizes.astype(np.int64)), *map(pa.array, whole), lists],
+                    ["doc_id", "mark", "n_shingles", "set_a", "set_b", "keys"],
                 )
 
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>"
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch, schema)
+    schema = "doc_id long, mark long, n_shingles long, set_a long, set_b long, keys array<long>"
+    return _marked(documents).mapInArrow(sketch, schema)
+
+
+def _marked(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
 
 
 def set_table(documents: DataFrame, how: Sketching) -> DataFrame:
-    """``rep, shingles, registers`` of some documents, as packed bytes."""
+    """``rep, shingles, registers`` of the texts of some classes, as packed bytes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,7 +184,7 @@ def set_table(documents: DataFrame, how: Sketching) -> DataFrame:
                 packed = [sets[offsets[i] : offsets[i + 1]].tobytes() for i in range(part.num_rows)]
                 registers = [x.tobytes() for x in sketches(sets, offsets, how)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(packed, pa.binary()), pa.array(registers, pa.binary())],
+                    [part.column("rep"), pa.array(packed, pa.binary()), pa.array(registers, pa.binary())],
                     ["rep", "shingles", "registers"],
                 )
 
@@ -287,49 +291,77 @@ def _remaining_links(members: DataFrame, labels: DataFrame, sets: DataFrame, how
     return filled.groupBy("main", "i", "j").applyInArrow(link, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame, how: Sketching | None = None, block: int = 1024) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document.
+def _classes(table: DataFrame) -> DataFrame:
+    """``rep, head, set_a, set_b, n_shingles, keys``: distinct sets, numbered in the order of their least ids.
 
-    ``component_id`` is the least id reachable over links. Null ids are kept, stand
-    alone and have a null component; null and empty texts have no shingle and are
-    linked with nothing; rows that repeat an id and its text are one document,
-    returned as often. Other columns of ``documents`` are not read.
+    A set and not an id is what others are similar to: an id that comes with several
+    texts has a class for each. ``head`` is the least id of the set and the least hash
+    of its texts.
     """
-    how = how or Sketching()
-    table = stored(sketch_table(documents, how), "near-sketches")
     real = table.filter("n_shingles > 0 and doc_id is not null")
-    classes = real.groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys")
+    distinct = real.groupBy("set_a", "set_b", "n_shingles").agg(
+        F.min(F.struct("doc_id", "mark")).alias("head"), F.min_by("keys", F.struct("doc_id", "mark")).alias("keys")
     )
-    classes = stored(classes, "near-classes")
+    return numbered(distinct, "head", "set_a", "set_b", into="rep")
+
+
+def _grouped(documents: DataFrame, how: Sketching, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sketch table, the classes, and ``rep, component`` of linked classes.
+
+    The number of a component is the least of its classes, whose head has its least id.
+    """
+    table = stored(sketch_table(documents, how), "near-sketches")
+    classes = _classes(table)
     rows = classes.select(F.explode("keys").alias("key"), "rep")
     buckets = rows.groupBy("key").agg(F.min("rep").alias("center"), F.count("*").alias("n")).filter("n > 1")
     members = stored(rows.join(buckets.select("key", "center"), "key"), "near-buckets")
-    ids = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    ids = members.select("rep").distinct()
+    heads = classes.select("rep", "head.doc_id", "head.mark").join(ids, "rep", "left_semi")
+    texts = _marked(documents).join(heads, ["doc_id", "mark"]).select("rep", "text")
     sets = stored(set_table(texts, how).dropDuplicates(["rep"]), "near-sets")
     star = members.filter("rep <> center").select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
     links = stored(_verified(star, sets, how), "near-links")
     labels = stored(connected_components(links).select(F.col("node").alias("rep"), "label"), "near-labels")
     more = stored(_remaining_links(members, labels, sets, how, block), "near-links")
     merged = labels.select(F.col("rep").alias("a"), F.col("label").alias("b")).filter("a <> b")
-    final = connected_components(merged.union(more)).select(F.col("node").alias("rep"), F.col("label").alias("component_id"))
-    by_set = classes.join(final, "rep", "left").select(
-        "set_a", "set_b", "n_shingles", F.coalesce("component_id", "rep").alias("component_id")
-    )
+    final = connected_components(merged.union(more)).select(F.col("node").alias("rep"), F.col("label").alias("component"))
+    return table, classes, final
+
+
+def near_duplicates(documents: DataFrame, how: Sketching | None = None, block: int = 1024) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``documents``.
+
+    ``component_id`` is the least id reachable over links between texts. Null ids are
+    kept, stand alone and have a null component; null and empty texts have no shingle
+    and are linked with nothing. Rows that repeat an id and its text get the same
+    answer; an id with several texts is one document per text, each with the component
+    of that text. Other columns of ``documents`` are not read.
+    """
+    table, classes, final = _grouped(documents, how or Sketching(), block)
+    names = classes.select(F.col("rep").alias("component"), F.col("head.doc_id").alias("component_id"))
+    own = classes.select("rep", "set_a", "set_b", "n_shingles").join(final, "rep", "left")
+    by_set = own.withColumn("component", F.coalesce("component", "rep")).join(names, "component")
     # empty sets and null ids match no class and stand alone
-    found = table.drop("keys").join(by_set, ["set_a", "set_b", "n_shingles"], "left")
-    own = F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component_id")).otherwise(own)
-    return found.select("doc_id", "n_shingles", component.alias("component_id"))
+    found = table.drop("keys").join(by_set.select("set_a", "set_b", "n_shingles", "component_id"), ["set_a", "set_b", "n_shingles"], "left")
+    linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    return found.select("doc_id", "n_shingles", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def first_of_each(documents: DataFrame, how: Sketching | None = None) -> DataFrame:
     """One document of each group of near duplicates: the one with the least id.
 
-    Rows that repeat an id are reduced to one. Documents without an id all stay.
+    Where that id has several texts of the group, the one with the least hash stays.
+    Texts without shingles are in no group. Rows that repeat an id and a text are reduced
+    to one, the least by all columns; documents without an id all stay.
     """
-    found = near_duplicates(documents, how)
-    ids = found.filter("doc_id = component_id").select("doc_id").distinct()
-    named = documents.filter("doc_id is not null").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(documents.filter("doc_id is null"))
+    table, classes, final = _grouped(documents, how or Sketching(), 1024)
+    moved = final.filter("component <> rep").select("rep")
+    heads = classes.select("rep", "head.doc_id", "head.mark").join(moved, "rep", "left_anti").drop("rep")
+    alone = table.filter("n_shingles = 0 and doc_id is not null").select("doc_id", "mark").distinct()
+    counts = table.filter("doc_id is not null").groupBy("doc_id", "mark").agg(F.count("*").alias("n"))
+    chosen = heads.union(alone).join(counts, ["doc_id", "mark"]).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("n").alias("_n"))
+    named = documents.filter("doc_id is not null").withColumn("_own", F.xxhash64("text"))
+    met = named.join(chosen, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_own") == F.col("_mark")))
+    repeated = met.filter("_n > 1").groupBy("_id", "_mark").agg(F.min(F.struct(*documents.columns)).alias("_row"))
+    single = met.filter("_n = 1").select(documents.columns)
+    return single.unionByName(repeated.select("_row.*")).unionByName(documents.filter("doc_id is null"))

@@ -59,9 +59,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captures = warc.write_archives(table(spark, sf_dir, "pages"))
-    directory = warc.write_index(captures)
-    records = warc.read_records(warc.index_captures(directory))
+    pages = table(spark, sf_dir, "pages")
+    directory = warc.write_index(warc.write_archives(pages))
+    found = warc.look_up_keys(directory, warc.keys_of(pages))
+    records = warc.with_named_payloads(warc.read_records(found, payloads=False))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -4,12 +4,14 @@ Records are gzip members of their own in files of bounded size. The index sorts
 captures by reversed-host URL key into compressed blocks (first level) and keeps
 the first key of every block in a small directory (second level). A look-up
 searches the directory by bisection, reads and searches one block, and then reads
-only the byte range of the record.
+only the byte range of the record. Keys are looked up in sorted order and by index
+file, so very many keys are as good as one.
 """
 
 from __future__ import annotations
 
 import bisect
+import hashlib
 import json
 import re
 import zlib
@@ -42,7 +44,14 @@ DIRECTORY = "first_key string, last_key string, file string, offset long, length
 
 
 def url_key(url: str | None) -> str:
-    """Reversed host, then port, path and query: captures of a site lie together."""
+    """Reversed host, then port, path and query: captures of a site lie together.
+
+    Blanks and control characters are escaped here, before anything is sorted.
+    """
+    return _header_safe(_reversed(url))
+
+
+def _reversed(url: str | None) -> str:
     try:
         parts = urlsplit((url or "").strip())
         host = ",".join(reversed((parts.hostname or "").split(".")))
@@ -77,23 +86,23 @@ def _member(data: bytes) -> bytes:
 
 
 def parsed_record(member: bytes) -> dict[str, object]:
-    """What a record says, with its payload if it holds one."""
+    """What a record says; size and digest are those of the payload it holds, or else what its headers state."""
     data = zlib.decompress(member, 31)
     head, _, rest = data.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
-    size = int(re.search(rb"Content-Length: (\d+)", http)[1])
+    whole = fields["WARC-Type"] == "response"
     number = fields["WARC-Record-ID"][len(_ID) + 1 : -1]
     refers = fields.get("WARC-Refers-To")
     return {
         "page_id": int(number) if number else None,
         "url": fields.get("WARC-Target-URI"),
-        "payload_bytes": size,
-        "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha256:"),
+        "payload_bytes": len(payload) if whole else int(re.search(rb"Content-Length: (\d+)", http)[1]),
+        "payload_digest": hashlib.sha256(payload).hexdigest() if whole else fields["WARC-Payload-Digest"].removeprefix("sha256:"),
         "record_type": fields["WARC-Type"],
         "refers_to": int(refers[len(_ID) + 1 : -1]) if refers else None,
-        "payload": payload if fields["WARC-Type"] == "response" else None,
+        "payload": payload if whole else None,
     }
 
 
@@ -175,8 +184,8 @@ def write_index(captures: DataFrame, how: ArchiveShape | None = None) -> DataFra
 
         for batch in batches:
             for row in batch.to_pylist():
-                # a blank ends the key in its line
-                lines.append((_header_safe(row.pop("key")), row))
+                # a blank ends the key in its line, and keys have none
+                lines.append((row.pop("key"), row))
                 if len(lines) == how.block_captures:
                     flush()
         if lines:
@@ -209,23 +218,28 @@ def index_captures(directory: DataFrame) -> DataFrame:
     return directory.repartition(n, "file", "offset").mapInArrow(read, CAPTURES)
 
 
-RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+_RECORD_FIELDS = [(c, {"long": pa.int64(), "string": pa.string()}[k]) for c, k in (x.split() for x in RECORDS.split(", "))]
 
 
-def read_records(captures: DataFrame) -> DataFrame:
-    """The records of captures by range reads, in the order they have in their files."""
+def read_records(captures: DataFrame, payloads: bool = True) -> DataFrame:
+    """The records of captures by range reads, in the order they have in their files.
+
+    Size and digest of responses are taken from the payload that was read; revisits
+    only state theirs. ``payload`` may be left out.
+    """
+    schema = pa.schema([*_RECORD_FIELDS, ("payload", pa.binary())] if payloads else _RECORD_FIELDS)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranges = Ranges()
-        schema = pa.schema([
-            ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-            ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()),
-        ])
         for batch in batches:
             held, size = [], 0
             for uri, start, length in zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "length")), strict=True):
-                held.append(parsed_record(ranges.read(uri, start, length)))
-                size += held[-1]["payload_bytes"]
+                record = parsed_record(ranges.read(uri, start, length))
+                if not payloads:
+                    del record["payload"]
+                held.append(record)
+                size += record["payload_bytes"] * payloads
                 if size > 8 << 20:
                     yield pa.RecordBatch.from_pylist(held, schema)
                     held, size = [], 0
@@ -236,35 +250,94 @@ def read_records(captures: DataFrame) -> DataFrame:
     n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # files may be large: their 8 MB stretches are dealt out
     dealt = places.repartition(n, "file", F.shiftright("offset", 23)).sortWithinPartitions("file", "offset")
-    return dealt.mapInArrow(read, RECORDS)
+    return dealt.mapInArrow(read, f"{RECORDS}, payload binary" if payloads else RECORDS)
 
 
-def look_up(directory: DataFrame, urls: list[str]) -> DataFrame:
-    """The captures of the given urls (a short stated list).
+def with_named_payloads(records: DataFrame) -> DataFrame:
+    """Records without payloads, revisits with size and digest of the response they name.
+
+    A revisit whose response is not there, or has another digest than the revisit
+    states, has nulls.
+    """
+    records = stored(records.drop("payload"), "warc-records")
+    responses = records.filter("record_type = 'response'").select(
+        F.col("page_id").alias("refers_to"), "payload_digest", F.col("payload_bytes").alias("_bytes")
+    )
+    named = records.filter("record_type = 'revisit'").join(responses.distinct(), ["refers_to", "payload_digest"], "left")
+    found = named.withColumns({"payload_bytes": F.col("_bytes"), "payload_digest": F.when(F.col("_bytes").isNotNull(), F.col("payload_digest"))})
+    return records.filter("record_type = 'response'").unionByName(found.drop("_bytes"))
+
+
+def keys_of(pages: DataFrame) -> DataFrame:
+    """The distinct ``key`` of all urls."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in batch.column("url").to_pylist()], pa.string())], ["key"])
 
-    Each task holds the directory rows of some index files, finds the block of a
-    key by bisection, and reads only that block.
+    return pages.select("url").distinct().mapInArrow(keys, "key string").distinct()
+
+
+def look_up_keys(directory: DataFrame, keys: DataFrame) -> DataFrame:
+    """All captures of the distinct ``key`` of a table, by the directory.
+
+    Index files follow each other in key order, one per partition of the index, so
+    their first and last keys say which of them a key may be in. Its file's directory
+    is searched by bisection for the block, and the block for the key.
     """
-    wanted = sorted({_header_safe(url_key(u)) for u in urls})
+    files = directory.groupBy("file").agg(F.min("first_key").alias("first"), F.max("last_key").alias("last"))
+    # as many rows as the index has partitions
+    spans = sorted((r["first"], r["last"], r["file"]) for r in files.collect())
+    firsts = [x[0] for x in spans]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[str, str]] = []
+            for key in batch.column("key").to_pylist():
+                # equal keys may reach over several files
+                at = bisect.bisect_right(firsts, key) - 1
+                while at >= 0 and spans[at][1] >= key:
+                    found.append((spans[at][2], key))
+                    at -= 1
+            yield _rows(found, "file string, key string")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranges = Ranges()
-        entries = sorted((e for b in batches for e in b.to_pylist()), key=lambda e: (e["file"], e["offset"]))
-        by_file: dict[str, list[dict]] = {}
-        for entry in entries:
-            by_file.setdefault(entry["file"], []).append(entry)
-        for own in by_file.values():
-            firsts = [e["first_key"] for e in own]
-            for key in wanted:
+        ranges, own, names, held = Ranges(), [], [], (None, None)
+        for batch in batches:
+            found: list[tuple] = []
+            for row in batch.to_pylist():
+                key = row.pop("key")
+                if key is None:
+                    # directory rows come before the keys of their file
+                    if own and own[-1]["file"] != row["file"]:
+                        own, names = [], []
+                    own.append(row)
+                    names.append(row["first_key"])
+                    continue
                 # the first block that may hold the key; equal keys may reach over several blocks
-                at = max(bisect.bisect_left(firsts, key) - 1, 0)
-                while at < len(own) and own[at]["first_key"] <= key:
+                at = max(bisect.bisect_left(names, key) - 1, 0)
+                while at < len(own) and names[at] <= key:
                     if own[at]["last_key"] >= key:
-                        keys, rest = _block(ranges, own[at])
-                        low, high = bisect.bisect_left(keys, key), bisect.bisect_right(keys, key)
-                        yield _rows([(key, *json.loads(x).values()) for x in rest[low:high]], CAPTURES)
+                        if held[0] is not own[at]:
+                            held = own[at], _block(ranges, own[at])
+                        listed, rest = held[1]
+                        low, high = bisect.bisect_left(listed, key), bisect.bisect_right(listed, key)
+                        found += [(key, *json.loads(x).values()) for x in rest[low:high]]
+                        if len(found) > 4096:
+                            yield _rows(found, CAPTURES)
+                            found = []
                     at += 1
+            yield _rows(found, CAPTURES)
         ranges.close()
 
     n = int(directory.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return directory.repartition(n, "file").mapInArrow(find, CAPTURES)
+    asked = keys.select("key").mapInArrow(deal, "file string, key string")
+    blocks = directory.withColumn("key", F.lit(None).cast("string"))
+    both = blocks.unionByName(asked, allowMissingColumns=True)
+    return both.repartition(n, "file").sortWithinPartitions("file", F.asc_nulls_first("key"), "offset").mapInArrow(find, CAPTURES)
+
+
+def look_up(directory: DataFrame, urls: list[str]) -> DataFrame:
+    """The captures of the given urls (a short stated list)."""
+    wanted = sorted({url_key(u) for u in urls})
+    return look_up_keys(directory, directory.sparkSession.createDataFrame([(k,) for k in wanted], "key string"))

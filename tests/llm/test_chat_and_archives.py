@@ -103,7 +103,41 @@ def test_archives_read_back(spark, pages):
     assert {r.page_id for r in warc.read_records(warc.look_up(directory, asked[:1])).collect()} == {204, *range(300, 330)}
 
 
+AWKWARD = ["http://h/a b", "http://h/a!b", "http://h/a\"b", "http://h/a#b", "http://h/a$b", "http://h/a", "http://h/a%20b", "http://h/a\tb", "http://h/ä b", "http://h/a b?x y", "", None]
+
+
+def test_look_ups_find_all_captures_of_awkward_keys(spark):
+    rows = [(i, AWKWARD[i % len(AWKWARD)], f"page {i}") for i in range(4 * len(AWKWARD))]
+    # one url with more captures than a block and than an index file hold
+    rows += [(1000 + i, "http://hot/a c", f"hot {i}") for i in range(120)] + [(5000, "http://[bad url", "x")]
+    how = warc.ArchiveShape(block_captures=3)
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    directory = warc.write_index(warc.write_archives(frame, how), how)
+    keys = Counter(warc.url_key(u) for _, u, _ in rows)
+    for url in [*AWKWARD[:-1], "http://hot/a c", "http://[bad url", "http://h/zz", "http://aa/"]:
+        found = [r.page_id for r in warc.look_up(directory, [url]).collect()]
+        assert sorted(found) == sorted(p for p, u, _ in rows if warc.url_key(u) == warc.url_key(url)), url
+    every = warc.look_up_keys(directory, warc.keys_of(frame)).collect()
+    assert Counter(r.key for r in every) == keys and Counter(r.page_id for r in every) == Counter(p for p, _, _ in rows)
+
+
+def test_damaged_payloads_are_seen(spark):
+    same = "<p>" + "same " * 40
+    frame = spark.createDataFrame([(1, "http://a/", same), (2, "http://b/", same)], "page_id long, url string, html string")
+    records = warc.with_named_payloads(warc.read_records(warc.write_archives(frame), payloads=False)).collect()
+    assert sorted((r.page_id, r.record_type, r.payload_bytes, r.payload_digest) for r in records) == [
+        (1, "response", len(same), hashlib.sha256(same.encode()).hexdigest()), (2, "revisit", len(same), hashlib.sha256(same.encode()).hexdigest()),
+    ]
+    whole = warc.record_bytes(1, "http://a/", same.encode(), hashlib.sha256(same.encode()).hexdigest(), None, "2024-01-01T00:00:00Z")
+    cut = warc.parsed_record(warc._member(whole.replace(b"same same", b"sane same", 1)))
+    assert cut["payload_digest"] != hashlib.sha256(same.encode()).hexdigest()
+    lost = spark.createDataFrame([(2, "u", 5, "d", "revisit", 9)], warc.RECORDS)
+    (row,) = warc.with_named_payloads(lost).collect()
+    assert (row.payload_bytes, row.payload_digest, row.refers_to) == (None, None, 9)
+
+
 def test_no_pages(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     directory = warc.write_index(warc.write_archives(none))
     assert warc.read_records(warc.index_captures(directory)).collect() == []
+    assert warc.look_up_keys(directory, warc.keys_of(none)).collect() == []

@@ -110,6 +110,38 @@ def test_first_of_each_keeps_one_row_per_group(documents):
     assert len(ids) == len(set(ids)) and None in ids and 108 not in ids
 
 
+def test_ids_with_several_texts_lose_no_link_and_no_text(spark):
+    base = " ".join(f"w{i}" for i in range(200))
+    other = " ".join(f"v{i}" for i in range(200))
+    rows = [(1, other), (1, base), (9, base + " more"), (9, other.upper()), (9, other), (7, ""), (7, " "), (3, base), (3, base)]
+    frame = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, place int").repartition(3)
+    got = Counter(tuple(r) for r in near.near_duplicates(frame).collect())
+    assert got == Counter({(1, 199, 1): 2, (9, 200, 1): 1, (9, 199, 1): 2, (7, 0, 7): 2, (3, 199, 1): 2})
+    kept = sorted((r.doc_id, r.text) for r in near.first_of_each(frame).collect())
+    # one row per group of texts, both under id 1, and the texts without words
+    assert kept == [(1, other), (1, base), (7, ""), (7, " ")]
+    again = near.first_of_each(spark.createDataFrame([(5, base, 2), (5, base, 1), (5, base, 3)], frame.schema)).collect()
+    assert [tuple(r) for r in again] == [(5, base, 1)]
+
+
+def test_recall_of_five_word_shingles_on_documents(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    sets = [(d, shingles(t, 5)) for d, t in rows]
+    holders = {}
+    for d, s in sets:
+        for x in s:
+            holders.setdefault(x, []).append(d)
+    own, pairs = dict(sets), set()
+    for d, s in sets:
+        shared = Counter(e for x in s for e in holders[x] if e < d)
+        pairs |= {(e, d) for e, n in shared.items() if 100 * n >= 80 * (len(s) + len(own[e]) - n)}
+    found = near.near_duplicates(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), near.Sketching(shingle=5))
+    component = {r.doc_id: r.component_id for r in found.collect()}
+    linked = sum(component[a] == component[b] for a, b in pairs)
+    assert len(pairs) > 20 and linked == len(pairs)
+    assert sum(d != c for d, c in component.items()) <= len(pairs)
+
+
 def test_sketch_estimates_similarity():
     how = near.Sketching()
     random_ = np.random.default_rng(1)
