@@ -9,6 +9,7 @@ pre-token is what its last node stores.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,10 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.pieces import MARK, NORMAL, USER, PieceModel, load_model
+from newsloom.llm.pieces import MARK, NORMAL, UNIGRAM, USER, PieceModel, load_model
 from newsloom.llm.words import slices, words_of
 
 
+# The usual shift of the Zipf-Mandelbrot law for words.
+ZIPF_SHIFT = 2.7
+
+
 @dataclass(frozen=True)
 class UnigramScores:
     """Piece scores by text, the longest piece, and the score of a character outside the vocabulary."""
@@ -32,6 +37,11 @@ class UnigramScores:
     @classmethod
     def of(cls, model: PieceModel) -> UnigramScores:
         kept = {p: s for p, s, k in zip(model.pieces, model.scores, model.kinds, strict=True) if k in (NORMAL, USER)}
+        if model.model_type != UNIGRAM:
+            ranked = sorted(kept, key=lambda p: -kept[p])
+            shares = [1.0 / (rank + ZIPF_SHIFT) for rank in range(1, len(ranked) + 1)]
+            whole = math.log(math.fsum(shares))
+            kept = {p: math.log(share) - whole for p, share in zip(ranked, shares, strict=True)}
         return cls(kept, max(map(len, kept)), min(kept.values()) - 10.0)
 
 

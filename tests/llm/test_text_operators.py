@@ -214,14 +214,37 @@ def test_token_counts_equal_plain_dynamic_programming(documents, texts):
     assert Counter(tuple(r) for r in counts.token_counts(documents, PIECES).collect()) == expected
 
 
+def unigram_library(model: pieces.PieceModel) -> Tokenizer:
+    """The library's Unigram with the scores that the trie uses."""
+    scores = counts.UnigramScores.of(model).scores
+    same = tuple(scores.get(p, min(scores.values())) for p in model.pieces)
+    return pieces.build_tokenizer(pieces.PieceModel(**(vars(model) | {"model_type": pieces.UNIGRAM, "scores": same})))
+
+
 def test_token_counts_agree_with_the_unigram_library():
     model = pieces.load_model(PIECES)
-    unigram = pieces.build_tokenizer(pieces.PieceModel(**(vars(model) | {"model_type": pieces.UNIGRAM})))
+    unigram = unigram_library(model)
     trie = counts.ForwardTrie(counts.UnigramScores.of(model))
     for token in sorted(["information", "informative", "infos", "日本x", "😀", "a,b", "zzzzzz", "Straße"]):
         assert trie.count("▁" + token) == len(unigram.encode(token, add_special_tokens=False).ids)
 
 
+def test_token_counts_of_whole_texts_equal_the_unigram_library(spark):
+    unigram = unigram_library(pieces.load_model(PIECES))
+    rows = [(r.doc_id, " ".join(words(r.text))) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    got = counts.token_counts(spark.createDataFrame(rows, "doc_id long, text string"), PIECES).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {d: len(unigram.encode(t, add_special_tokens=False).ids) if t else 0 for d, t in rows}
+
+
+def test_merge_order_gives_log_probabilities():
+    vocabulary = counts.UnigramScores.of(pieces.load_model(PIECES))
+    assert math.isclose(sum(map(math.exp, vocabulary.scores.values())), 1.0, rel_tol=1e-9)
+    trie = counts.ForwardTrie(vocabulary)
+    assert [trie.count("▁" + w) for w in ("about", "government", "understanding")] == [1, 1, 1]
+    unigram = pieces.PieceModel(("<unk>", "a", "b"), (0.0, -1.5, -0.5), (2, 1, 1), pieces.UNIGRAM, False, b"", True, False)
+    assert counts.UnigramScores.of(unigram).scores == {"a": -1.5, "b": -0.5}
+
+
 def test_piece_ids_equal_the_original_library(documents, texts):
     original = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     got = pieces.encode_pieces(documents, PIECES)
