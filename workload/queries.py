@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import text, times, url
 from newsloom.lineage import checkpoint_dir, stored
 from newsloom.operators import cluster, collect, dedupe, density, hierarchy, keywords, neighbours, scoring, topics, upsert
+from newsloom.operators.vectors import fuzzy_edges, graph_layout
 from newsloom.plans import reports
 from newsloom.plans.run import TOPIC_PAYLOAD, RunResult, RunSettings, mine_topics
 from newsloom.schemas import KEYS, REPLACED, TOPICS
@@ -305,6 +306,14 @@ def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def reduced_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings in five dimensions, along the graph of their nearest by angle."""
+    near = neighbours.neighbours_to_recall(embedding_vectors(spark, sf_dir), 15, metric="cosine")
+    laid_out = graph_layout(fuzzy_edges(near), DIMS)
+    return laid_out.select(F.col("id").alias("vec_id"), F.transform("vector", lambda v: F.round(v, 6)).alias("vector"))
+
+
 @query
 def hierarchical_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of the embeddings at every density."""
