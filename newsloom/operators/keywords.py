@@ -112,3 +112,51 @@ def reduce_topics(counts: DataFrame, nr_topics: int, volumes: DataFrame | None =
             .alias("merged_id"),
         )
     )
+
+
+def _nearest_topics(counts: DataFrame, leaving: DataFrame) -> DataFrame:
+    """``topic_id, merged_id``: for each leaving topic the most similar of the others."""
+    weights = stored(weighted_terms(counts).select("topic_id", "term", "weight"), "term_weights")
+    staying = weights.join(leaving, "topic_id", "left_anti")
+    norms = staying.groupBy("topic_id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    own = weights.join(leaving, "topic_id", "left_semi").select(F.col("topic_id").alias("leaves"), "term", F.col("weight").alias("own"))
+    dots = own.join(staying, "term").groupBy("leaves", "topic_id").agg(F.sum(F.col("own") * F.col("weight")).alias("dot"))
+    closeness = F.round(F.col("dot") / F.col("norm"), 12)
+    best = dots.join(norms, "topic_id").groupBy("leaves").agg(F.max(F.struct(closeness.alias("closeness"), (-F.col("topic_id")).alias("low_id"))).alias("x"))
+    return best.select(F.col("leaves").alias("topic_id"), (-F.col("x.low_id")).alias("merged_id"))
+
+
+def merge_topics(counts: DataFrame, nr_topics: int, volumes: DataFrame, per_round: int = 32) -> DataFrame:
+    """Merge the topics of one run until ``nr_topics`` are left: ``topic_id, merged_id``.
+
+    The smallest topics of a round (by ``volumes(topic_id, volume)``, ties: the higher id
+    first) each join the staying topic with the greatest cosine between their class-based
+    TF-IDF rows (ties: the lower id); one without a shared term joins the largest. Then
+    counts are added up, weights taken anew, and the next round looks for the smallest
+    again. With ``per_round`` 1 this is one merge after another. A round pairs the terms
+    of at most ``per_round`` topics with those of the others.
+    """
+    if nr_topics < 1 or per_round < 1:
+        raise ValueError("nr_topics and per_round must be positive")
+    counts = stored(counts.select("run_id", "topic_id", "term", "n"), "term_counts")
+    sizes = stored(volumes.select("topic_id", F.col("volume").cast("long").alias("volume")), "volumes")
+    merged = sizes.select("topic_id", F.col("topic_id").alias("merged_id"))
+    surplus = sizes.count() - nr_topics
+    while surplus > 0:
+        some = min(surplus, per_round)
+        leaving = stored(sizes.orderBy("volume", F.desc("topic_id")).limit(some).select("topic_id"), "leaving")
+        largest = sizes.join(leaving, "topic_id", "left_anti").orderBy(F.desc("volume"), "topic_id").limit(1)
+        nearest = leaving.join(_nearest_topics(counts, leaving), "topic_id", "left")
+        fallback = largest.select(F.col("topic_id").alias("_largest"))
+        # at most ``per_round`` rows, and the one largest topic
+        step = nearest.join(F.broadcast(fallback)).select(F.col("topic_id").alias("_from"), F.coalesce("merged_id", "_largest").alias("_to"))
+        step = F.broadcast(stored(step, "merge_step"))
+
+        def moved(df: DataFrame, column: str, step: DataFrame = step) -> DataFrame:
+            return df.join(step, F.col(column) == F.col("_from"), "left").withColumn(column, F.coalesce("_to", column)).drop("_from", "_to")
+
+        counts = stored(moved(counts, "topic_id").groupBy("run_id", "topic_id", "term").agg(F.sum("n").alias("n")), "term_counts")
+        sizes = stored(moved(sizes, "topic_id").groupBy("topic_id").agg(F.sum("volume").alias("volume")), "volumes")
+        merged = stored(moved(merged, "merged_id"), "merged")
+        surplus -= some
+    return merged.select("topic_id", "merged_id")

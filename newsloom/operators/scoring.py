@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import score
+from newsloom.operators.watchlist import with_watchlist_bonus
 
 
 def score_topics(
@@ -15,13 +16,20 @@ def score_topics(
     as_of: Column,
     watchlist_keywords: Sequence[str] | None = None,
     watchlist_tickers: Sequence[str] | None = None,
+    watchlist: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``narrative_signal_score`` (0 to 100) and its ``score_breakdown``."""
+    """Add ``narrative_signal_score`` (0 to 100) and its ``score_breakdown``.
+
+    Terms come as short lists or, in any number, as a table ``watchlist(term)``.
+    """
     terms = score.watchlist_terms(watchlist_keywords, watchlist_tickers)
     bonus = F.lit(0.0)
     if terms:
         titles = F.transform("representative_items", lambda item: item["title"])
         bonus = score.watchlist_bonus(F.col("top_keywords"), titles, terms)
+    if watchlist is not None:
+        topics = with_watchlist_bonus(topics, watchlist).withColumnRenamed("watchlist_bonus", "_listed")
+        bonus = F.greatest(bonus, F.col("_listed"))
     parts = {
         "volume_score": score.volume_score(F.col("topic_volume")),
         "velocity_score": score.velocity_score(F.col("last_seen_at"), as_of),
@@ -33,7 +41,7 @@ def score_topics(
             "narrative_signal_score": score.signal_score(parts),
             "score_breakdown": F.struct(*[part.alias(name) for name, part in parts.items()]),
         }
-    )
+    ).drop("_listed")
 
 
 def _best_first() -> list[Column]:

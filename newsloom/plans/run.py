@@ -31,6 +31,7 @@ class RunSettings:
     bucket_interval: str = "daily"
     watchlist_keywords: Sequence[str] = ()
     watchlist_tickers: Sequence[str] = ()
+    watchlist: DataFrame | None = None
     clustering: cluster.ClusterSettings = field(default_factory=cluster.ClusterSettings)
 
     def hashed(self, feeds: Sequence[Mapping[str, Any]] = ()) -> Column:
@@ -75,7 +76,8 @@ def mine_topics(
     if settings.clustering.nr_topics:
         counts = stored(keywords.term_counts(clustered), "term_counts")
         volumes = topics.without_noise(clustered).groupBy("topic_id").agg(F.count("*").alias("volume"))
-        merged = keywords.reduce_topics(counts, settings.clustering.nr_topics, volumes)
+        merge = keywords.merge_topics if settings.clustering.merging == "repeated" else keywords.reduce_topics
+        merged = merge(counts, settings.clustering.nr_topics, volumes)
         clustered = (
             clustered.join(broadcast_if_small(renumbered(clustered, merged)), "topic_id", "left")
             .withColumn("topic_id", F.coalesce("new_id", "topic_id"))
@@ -87,7 +89,9 @@ def mine_topics(
     clustered = stored(clustered, "clustered")
     words = keywords.topic_keywords(clustered, settings.clustering.top_n_words)
     records = topics.topic_records(clustered, words, settings.bucket_interval)
-    scored = scoring.score_topics(records, as_of, settings.watchlist_keywords, settings.watchlist_tickers)
+    scored = scoring.score_topics(
+        records, as_of, settings.watchlist_keywords, settings.watchlist_tickers, settings.watchlist
+    )
     scored = stored(scored, "topics").withColumn("json_payload", F.struct(*TOPIC_PAYLOAD)).drop(*TOPIC_PAYLOAD)
     return RunResult(
         items=topics.attach_signatures(clustered, scored),

@@ -298,6 +298,23 @@ with {SCORED}
 select topic_id, topic_signature, topic_volume, narrative_signal_score, array_to_string(keywords, ' ') as top_keywords
 from scored order by narrative_signal_score desc, first_pos limit 5"""
 
+WATCHED = "watched as (select distinct lower(w) as term from (select unnest(string_split(text, ' ')) as w from benchmark) where w <> '')"
+
+ORACLES["watched_items"] = f"""
+with {ITEMS},{WATCHED}
+select seq, count(*) as n_terms from items join watched on contains(lower(title), term) group by seq"""
+
+ORACLES["watched_scores"] = f"""
+with {SCORED},{WATCHED},
+flags as (
+  select topic_id, list_has_any(keywords, (select list(term) from watched)) as in_keywords,
+    exists (select 1 from watched w where len(list_filter(titles, lambda t: contains(t, w.term))) > 0) as in_titles,
+    volume_score * 0.25 + velocity_score * 0.35 + source_score * 0.30 as others
+  from scored)
+select topic_id, in_keywords, in_titles, cast(case when in_keywords or in_titles then 80 else 0 end as double) as watchlist_bonus,
+  round(others + case when in_keywords or in_titles then 80 else 0 end * 0.10, 2) as narrative_signal_score
+from flags"""
+
 CLUSTERS = """
 points as (
   select vec_id as id, [list_avg(embedding[1:13]::double[]), list_avg(embedding[14:26]::double[]),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text, times, url
 from newsloom.lineage import checkpoint_dir, stored
-from newsloom.operators import cluster, collect, dedupe, density, hierarchy, keywords, neighbours, scoring, topics, upsert
+from newsloom.operators import cluster, collect, dedupe, density, hierarchy, keywords, neighbours, scoring, topics, upsert, watchlist
 from newsloom.operators.vectors import fuzzy_edges, graph_layout
 from newsloom.plans import reports
 from newsloom.plans.run import TOPIC_PAYLOAD, RunResult, RunSettings, mine_topics
@@ -248,6 +248,41 @@ def top_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def watched_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A watchlist that grows: every word of the benchmark texts."""
+    words = F.explode(F.split(F.col("text"), " "))
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(words.alias("term")).filter("term <> ''")
+
+
+@query
+def watched_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many watched words the title of each item contains, anywhere in it."""
+    titles = items(spark, sf_dir).select(F.col("seq").alias("id"), "title")
+    found = watchlist.matching_terms(titles, watched_words(spark, sf_dir))
+    return found.groupBy(F.col("id").alias("seq")).agg(F.count("*").alias("n_terms"))
+
+
+@query
+def watched_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics scored with a watchlist table."""
+    kept = kept_items(spark, sf_dir)
+    records = stored(topics.topic_records(kept, keywords.topic_keywords(kept)), "records")
+    words = watched_words(spark, sf_dir)
+    flags = watchlist.watched_topics(records, words).select("topic_id", "in_keywords", "in_titles")
+    scored = scoring.score_topics(records, as_of(), watchlist=words).join(flags, "topic_id", "left")
+    hit = [F.coalesce(c, F.lit(False)).alias(c) for c in ("in_keywords", "in_titles")]
+    return scored.select("topic_id", *hit, F.col("score_breakdown.watchlist_bonus").alias("watchlist_bonus"), "narrative_signal_score")
+
+
+@query
+def merged_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics merged one after another until four are left."""
+    found = items(spark, sf_dir)
+    counts = stored(keywords.term_counts(found), "term_counts")
+    volumes = topics.without_noise(found).groupBy("topic_id").agg(F.count("*").alias("volume"))
+    return keywords.merge_topics(counts, 4, volumes, per_round=1)
+
+
 # Clusters -------------------------------------------------------------------
 
 EPS, MIN_SAMPLES, MIN_CLUSTER_SIZE, DIMS = 0.026, 3, 3, 5
