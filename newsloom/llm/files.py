@@ -12,6 +12,7 @@ import posixpath
 import re
 import uuid
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
 
@@ -31,6 +32,12 @@ def _opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def opened(uri: str) -> pa.NativeFile:
+    """A file of the shared folder, for reading."""
+    system, path = _opened(uri)
+    return system.open_input_file(path)
+
+
 class NewFile:
     """A file under construction: append bytes, learn where they begin."""
 

@@ -8,14 +8,20 @@ Myers' bit-parallel edit distance. Case and runs of white space do not count.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.lineage import stored
+from newsloom.llm.files import opened
+
 
 @dataclass(frozen=True)
 class EditBudget:
@@ -120,76 +126,84 @@ def _runs(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
     yield low, high
 
 
-def item_blocks(benchmark: DataFrame, how: EditBudget) -> Iterator[list[tuple[int, str]]]:
-    """Items with text in blocks of a bounded size, streamed one partition at a time."""
-    block: list[tuple[int, str]] = []
-    size = 0
+def stored_blocks(benchmark: DataFrame, how: EditBudget) -> list[str]:
+    """Items with text, dealt out evenly into files of about ``block_chars`` characters in the shared folder.
+
+    Only the names of the files reach the driver.
+    """
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
-    for key, text in rows.toLocalIterator():
-        item = plain(text)
-        if not item:
-            continue
-        if block and size + len(item) > how.block_chars:
-            yield block
-            block, size = [], 0
-        block.append((key, item))
-        size += len(item)
-    if block:
-        yield block
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    return sorted(stored(rows.repartition(max(1, math.ceil(chars / how.block_chars))), "benchmark-items").inputFiles())
+
+
+@lru_cache(maxsize=1)
+def _matcher(uri: str, how: EditBudget) -> ItemMatcher:
+    """The matcher of one block of items; a worker holds one at a time."""
+    with opened(uri) as file:
+        rows = pq.read_table(file, columns=["item_id", "text"]).to_pydict()
+    found = zip(rows["item_id"], map(plain, rows["text"]), strict=True)
+    return ItemMatcher([(key, item) for key, item in found if item], how)
+
+
+# Bytes of documents that meet one block after the other where there are several.
+_AT_ONCE = 32 << 20
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], n_blocks: int) -> Iterator[list[pa.RecordBatch]]:
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if n_blocks == 1 or sum(x.nbytes for x in held) >= _AT_ONCE:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
 def benchmark_hits(documents: DataFrame, benchmark: DataFrame, how: EditBudget | None = None) -> DataFrame:
     """``doc_id, item_id, distance, match_end``: every item found in every document.
 
-    All documents are read once per block of items. ``match_end`` counts characters
-    of the text after folding case and white space. Items without text match
-    nothing; null texts hold nothing; null ids stay null; a repeated row or item is
-    reported each time.
+    Documents are read once; each task takes the blocks of items one after the other.
+    ``match_end`` counts characters of the text after folding case and white space.
+    Items without text match nothing; null texts hold nothing; null ids stay null; a
+    repeated row or item is reported each time. An item matches inside words too, and
+    one of a few letters wherever these stand.
     """
     how = how or EditBudget()
-    spark = documents.sparkSession
-    schema = "doc_id long, item_id long, distance int, match_end long"
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    files = stored_blocks(benchmark, how)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _gathered(batches, len(files)):
+            for uri in files:
+                matcher = _matcher(uri, how)
+                for batch in held:
+                    found = [
+                        (key, *hit)
+                        for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True)
+                        for hit in matcher.matches(text.as_py())
+                    ]
+                    columns = zip(*found, strict=True) if found else ((), (), (), ())
+                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)],
+                        ["doc_id", "item_id", "distance", "match_end"],
+                    )
 
-    def finder(items):  # noqa: ANN001, ANN202
-        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = ItemMatcher(items.value, how)
-            for batch in batches:
-                found = [
-                    (key, *hit)
-                    for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True)
-                    for hit in matcher.matches(text.as_py())
-                ]
-                columns = zip(*found, strict=True) if found else ((), (), (), ())
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)],
-                    ["doc_id", "item_id", "distance", "match_end"],
-                )
-
-        return find
-
-    result = spark.createDataFrame([], schema)
-    for k, block in enumerate(item_blocks(benchmark, how)):
-        hits = rows.mapInArrow(finder(spark.sparkContext.broadcast(block)), schema)
-        result = hits if k == 0 else result.unionByName(hits)
-    return result
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(find, "doc_id long, item_id long, distance int, match_end long")
 
 
 def without_benchmark(documents: DataFrame, benchmark: DataFrame, how: EditBudget | None = None) -> DataFrame:
     """The documents that hold no item, with all their columns; nothing is shuffled."""
     how = how or EditBudget()
-    spark = documents.sparkSession
-
-    def keeper(items):  # noqa: ANN001, ANN202
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = ItemMatcher(items.value, how)
-            for batch in batches:
-                clean = [next(matcher.matches(x.as_py()), None) is None for x in batch.column("text")]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+    files = stored_blocks(benchmark, how)
 
-        return keep
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _gathered(batches, len(files)):
+            for uri in files:
+                matcher = _matcher(uri, how)
+                clean = [[next(matcher.matches(x.as_py()), None) is None for x in batch.column("text")] for batch in held]
+                held = [batch.filter(pa.array(mask, pa.bool_())) for batch, mask in zip(held, clean, strict=True)]
+            yield from held
 
-    for block in item_blocks(benchmark, how):
-        documents = documents.mapInArrow(keeper(spark.sparkContext.broadcast(block)), documents.schema)
-    return documents
+    return documents.mapInArrow(keep, documents.schema)

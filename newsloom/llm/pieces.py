@@ -160,6 +160,26 @@ def build_tokenizer(model: PieceModel, normalize: bool = True) -> Tokenizer:
     return tokenizer
 
 
+class PieceBytes:
+    """Decoding of many ids at once: pieces as bytes, marks as blanks."""
+
+    def __init__(self, model: PieceModel):
+        whole = [
+            bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode() for p, k in zip(model.pieces, model.kinds, strict=True)
+        ]
+        self._sizes = np.fromiter(map(len, whole), np.int64, len(whole))
+        self._starts = np.cumsum(self._sizes) - self._sizes
+        self._data = np.frombuffer(b"".join(whole), np.uint8)
+
+    def joined(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes of each of some lists of ids that follow each other in ``ids``."""
+        sizes = self._sizes[ids]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        data = self._data[np.repeat(self._starts[ids] - total[:-1], sizes) + np.arange(total[-1])].tobytes()
+        ends = total[np.cumsum(counts)].tolist()
+        return [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 _AT_ONCE = 8192
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -170,8 +190,8 @@ class PieceEncoder:
     A chunk is a run of marks and what follows up to the next mark. No piece of the
     supported models reaches from inside a chunk over its end (checked when the
     model is loaded), so ids of a text are those of its chunks. Each distinct chunk
-    is encoded once while it is held, in multithreaded batches, compared with the
-    original library, and decoded again.
+    is encoded once while it is held, in multithreaded batches, and compared with the
+    original library. What the assembled ids of a text decode to is compared with it.
     """
 
     def __init__(self, path: str, most: int = 500_000, verify: bool = True):
@@ -180,10 +200,21 @@ class PieceEncoder:
             raise ValueError("a piece holds a mark inside; texts cannot be cut at marks")
         self._normalizer = normalizer_of(self.model)
         self._bare = build_tokenizer(self.model, normalize=False)
+        self._bytes = PieceBytes(self.model)
         self._original = sentencepiece.SentencePieceProcessor(model_file=path) if verify else None
         self._most = most
         self._clear()
 
+    @property
+    def verified(self) -> bool:
+        """Whether chunks are compared with the original, which normalises whole texts only."""
+        return self._original is not None and not self.model.charsmap and not self.model.squeeze and self.model.dummy_prefix
+
+    def round_trips(self, texts: list[str | None], ids: np.ndarray, counts: np.ndarray) -> list[bool]:
+        """Whether the ids of each text decode to the text."""
+        lead = " " if self.model.dummy_prefix else ""
+        return [data == (lead + (x or "")).encode() if x else not data for data, x in zip(self._bytes.joined(ids, counts), texts, strict=True)]
+
     def _clear(self) -> None:
         self._places: dict[str, int] = {}
         self._ids, self._starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
@@ -202,22 +233,22 @@ class PieceEncoder:
 
     def _add_some(self, fresh: list[str]) -> None:
         encoded = [x.ids for x in self._bare.encode_batch_fast(fresh, add_special_tokens=False)]
-        decoded = self._bare.decode_batch(encoded, skip_special_tokens=False)
-        # the decoder drops one leading blank, the original adds one
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        ids = np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum()))
         plain = [c.replace(MARK, " ") for c in fresh]
-        bare = [c[1:] if self.model.dummy_prefix and c.startswith(" ") else c for c in plain]
-        self._lossy.extend(a != b for a, b in zip(decoded, bare, strict=True))
+        self._lossy.extend(a != b.encode() for a, b in zip(self._bytes.joined(ids, lengths), plain, strict=True))
         unlike = bytearray(len(fresh))
-        if self._original is not None and not self.model.charsmap and not self.model.squeeze and self.model.dummy_prefix:
+        if self.verified:
+            # the original adds a leading blank itself
+            bare = [c[1:] if c.startswith(" ") else c for c in plain]
             asked = [k for k, (c, b) in enumerate(zip(plain, bare, strict=True)) if b and c.startswith(" ")]
-            for k, ids in zip(asked, self._original.encode([bare[k] for k in asked], num_threads=1), strict=True):
-                unlike[k] = ids != encoded[k]
+            for k, theirs in zip(asked, self._original.encode([bare[k] for k in asked], num_threads=1), strict=True):
+                unlike[k] = theirs != encoded[k]
         self._unlike.extend(unlike)
         n = len(self._places)
         self._places.update(zip(fresh, range(n, n + len(fresh)), strict=True))
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
         self._new_lengths.append(lengths)
-        self._new_ids.append(np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum())))
+        self._new_ids.append(ids)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """All ids, ids per text, chunks per text unlike the original library's, chunks per text lost in decoding."""
@@ -253,26 +284,31 @@ def piece_encoder(path: str) -> PieceEncoder:
 
 
 def encode_pieces(documents: DataFrame, path: str) -> DataFrame:
-    """``doc_id, ids, n_tokens, n_unlike, n_lossy`` of every document.
+    """``doc_id, ids, n_tokens, n_unlike, n_lossy, round_trip`` of every document.
 
-    ``n_unlike`` counts chunks whose ids differ from the original library's and
-    ``n_lossy`` what does not decode to itself: chunks, and marks that stood in the
-    text and decode to blanks. Null and empty texts have no ids; null ids stay null.
+    ``n_unlike`` counts chunks whose ids differ from the original library's (null for
+    models whose texts are not compared: those with a character map or that squeeze
+    blanks) and ``n_lossy`` what does not decode to itself: chunks, and marks that stood
+    in the text and decode to blanks. ``round_trip`` says whether the assembled ids of
+    the whole text decode to it. Null and empty texts have no ids; null ids stay null.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(path)
         for batch in batches:
             for part in slices(batch, most_bytes=4 << 20):
-                ids, counts, unlike, lossy = encoder.encode(part.column("text").to_pylist())
+                texts = part.column("text").to_pylist()
+                ids, counts, unlike, lossy = encoder.encode(texts)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                compared = pa.array(unlike) if encoder.verified else pa.nulls(len(unlike), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(ids)), *map(pa.array, (counts, unlike, lossy))],
-                    ["doc_id", "ids", "n_tokens", "n_unlike", "n_lossy"],
-                )
+                    [part.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.array(counts), compared, pa.array(lossy),
+                     pa.array(encoder.round_trips(texts, ids, counts), pa.bool_())],
+                    ["doc_id", "ids", "n_tokens", "n_unlike", "n_lossy", "round_trip"],
+                )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(encode, "doc_id long, ids array<int>, n_tokens long, n_unlike long, n_lossy long")
+    return rows.mapInArrow(encode, "doc_id long, ids array<int>, n_tokens long, n_unlike long, n_lossy long, round_trip boolean")
 
 
 def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:

@@ -254,7 +254,7 @@ def _judged(part: pa.RecordBatch, model: QualityModel, how: QualityRules) -> lis
 
 
 def quality_rules(documents: DataFrame, model: QualityModel, how: QualityRules | None = None) -> DataFrame:
-    """One row per document: word statistics, ``base_failed``, ``probability``, ``kept``.
+    """One row per document: word statistics, ``base_failed``, ``kept``, ``probability``.
 
     A null text has no words and fails; null ids stay null; repeated rows are
     judged alike; other columns of ``documents`` are not read.
@@ -272,7 +272,8 @@ def quality_rules(documents: DataFrame, model: QualityModel, how: QualityRules |
 
     counts = ", ".join(f"{x} long" for x in _COUNTS)
     schema = f"doc_id long, {counts}, base_failed boolean, probability double, kept boolean"
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(judge, schema)
+    judged = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(judge, schema)
+    return judged.select("doc_id", *_COUNTS, "base_failed", "kept", "probability")
 
 
 def kept_documents(documents: DataFrame, model: QualityModel, how: QualityRules | None = None) -> DataFrame:

@@ -257,6 +257,26 @@ def test_piece_ids_equal_the_original_library(documents, texts):
     assert [r.doc_id for r in rows if r.n_lossy] == [111]
 
 
+def test_whole_documents_decode_to_themselves(documents, texts):
+    encoded = pieces.encode_pieces(documents, PIECES).persist()
+    # only the text that holds a mark is not what its ids say
+    assert [r.doc_id for r in encoded.collect() if not r.round_trip] == [111]
+    decoded = Counter((r.doc_id, r.text) for r in pieces.decode_pieces(encoded, PIECES).collect())
+    assert decoded == Counter((d, (t or "").replace("▁", " ")) for d, t in texts)
+    encoded.unpersist()
+    encoder = pieces.PieceEncoder(PIECES)
+    ids, counts, _, _ = encoder.encode(["one two", "three"])
+    assert encoder.round_trips(["one two", "three"], ids, counts) == [True, True]
+    assert encoder.round_trips(["one twO", None], ids, counts) == [False, False]
+
+
+def test_parity_is_unknown_where_texts_are_not_compared(monkeypatch):
+    encoder = pieces.PieceEncoder(PIECES)
+    assert encoder.verified
+    monkeypatch.setattr(encoder, "model", pieces.PieceModel(**(vars(encoder.model) | {"squeeze": True})))
+    assert not encoder.verified
+
+
 def test_runs_of_blanks_and_unigram_models_have_parity(tmp_path):
     original = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     whole = pieces.build_tokenizer(pieces.load_model(PIECES))
@@ -420,6 +440,18 @@ def edit_distance_to_part(pattern: str, text: str) -> int:
     return min(row)
 
 
+def test_blocks_of_items_are_taken_one_after_the_other(spark):
+    items = [(i, f"item number {i} of the benchmark " + "abc" * (i % 7)) for i in range(60)] + [(60, None), (61, ""), (3, "item number 3 of the benchmark abcabcabc")]
+    docs = [(i, f"before {items[i][1]} after" if i < 60 and i % 2 else f"clean {i}") for i in range(70)] + [(None, items[5][1]), (70, None), (71, items[7][1] + " x" * 40_000)]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(2)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    few, one = leaks.EditBudget(block_chars=300), leaks.EditBudget()
+    assert len(leaks.stored_blocks(bench, few)) > 5 and len(leaks.stored_blocks(bench, one)) == 1
+    assert Counter(leaks.benchmark_hits(frame, bench, few).collect()) == Counter(leaks.benchmark_hits(frame, bench, one).collect())
+    assert Counter(leaks.without_benchmark(frame, bench, few).collect()) == Counter(leaks.without_benchmark(frame, bench, one).collect())
+    assert leaks.without_benchmark(frame, bench.limit(0), few).count() == len(docs)
+
+
 def test_benchmark_hits_equal_brute_force(spark):
     random.seed(3)
     stock = ["sun", "moon", "star", "cloud", "rain", "wind", "snow", "hail", "mist", "frost"]
