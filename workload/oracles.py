@@ -720,3 +720,7 @@ listed as (
     || ']' as counts_by_bucket
   from days group by all)
 select run_id, topic_signature, counts_by_bucket from records join listed using (run_id, topic_id)"""
+
+# The keyed tables hold what the plain ones do.
+ORACLES["file_upserted_topics"] = ORACLES["upserted_topics"]
+ORACLES["file_items_by_hash"] = ORACLES["items_by_hash"]

@@ -21,6 +21,7 @@ from newsloom.plans import reports
 from newsloom.plans.run import TOPIC_PAYLOAD, RunResult, RunSettings, mine_topics
 from newsloom.schemas import KEYS, REPLACED, TOPICS
 from newsloom.sources import feeds
+from newsloom.sources.keyed import KeyedTable
 from newsloom.sources.store import RunStore, export_run, flat_columns
 from newsloom.sources.suffixes import suffix_rules
 from workload.items import as_of, entries, items, table
@@ -607,6 +608,33 @@ def upserted_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.merge_upsert(before, after, KEYS["topics"], REPLACED["topics"])
 
 
+def keyed_table(spark: SparkSession, name: str, frame: DataFrame, indexed: list[str]) -> KeyedTable:
+    schema = ", ".join(f"{c} {kind}" for c, kind in frame.dtypes)
+    return KeyedTable(spark, fresh_folder(spark, "keyed"), schema, KEYS[name], indexed, rows_per_file=100_000)
+
+
+@query
+def file_upserted_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert of topics as two writes of a keyed table, which replace files that hold their keys."""
+    found = stored(run_items(spark, sf_dir), "items")
+    before, after = topics_of(found.filter(is_early())), topics_of(found.filter(~is_early()))
+    kept = keyed_table(spark, "topics", before, ["topic_signature"])
+    kept.upsert(before, REPLACED["topics"])
+    kept.upsert(after, REPLACED["topics"])
+    return kept.read()
+
+
+@query
+def file_items_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items inserted into a keyed table and looked up by their least content hash."""
+    found = stored(run_items(spark, sf_dir).select("run_id", "item_id", "content_hash"), "items")
+    kept = keyed_table(spark, "items", found, ["content_hash"])
+    kept.insert_new(found)
+    # the same rows again change nothing
+    kept.insert_new(found)
+    return kept.look_up("content_hash", [found.agg(F.min("content_hash")).first()[0]])
+
+
 @query
 def upserted_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stored(run_items(spark, sf_dir), "items")
