@@ -86,7 +86,9 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     usable = classifier.fold(F.col("doc_id")) != 0
     model = classifier.fit_classifier(statistics, table(spark, sf_dir, "labels"), usable)
     scored = classifier.classify(statistics, model)
-    return scored.select("doc_id", (classifier.fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+    # a row without an id has no fold, and none was learned from
+    held_out = F.coalesce(classifier.fold(F.col("doc_id")) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

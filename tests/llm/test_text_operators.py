@@ -431,6 +431,43 @@ def test_pooled_levels_never_fall():
     assert np.allclose(levels, [1 / 3, 1 / 3, 1 / 3, 1 / 3][:3] + [0.5]) or (np.diff(levels) >= 0).all()
 
 
+def test_pooled_levels_equal_the_minimax_formula():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        n = int(rng.integers(1, 12))
+        counts = rng.integers(1, 6, n).astype(float)
+        sums = np.floor(rng.random(n) * (counts + 1))
+        means = [[sums[a : b + 1].sum() / counts[a : b + 1].sum() if b >= a else 0.0 for b in range(n)] for a in range(n)]
+        want = [max(min(means[a][b] for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+        assert np.allclose(classifier._pooled(counts, sums), want)
+
+
+def test_ridge_weights_equal_numpy(spark):
+    how = classifier.KernelRidge(features=24, bins=50)
+    rng = np.random.default_rng(8)
+    n = 400
+    x = rng.normal(size=(n, len(classifier.STATISTICS))) * np.arange(1, len(classifier.STATISTICS) + 1)
+    y = (x[:, 0] + x[:, 1] / 2 + rng.normal(size=n) > 0).astype(int)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "doc_id long, statistics array<double>").repartition(5)
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)] + [(7_000, 1), (None, 0), (3, None)], "doc_id long, quality int")
+    model = classifier.fit_classifier(table, labels, classifier.fold(F.col("doc_id")) != 0, how)
+    folds = spark.range(n).select("id", classifier.fold(F.col("id")).alias("fold"), F.pmod(F.xxhash64("id"), F.lit(3)).alias("third")).collect()
+    used = np.array([r.id for r in folds if r.fold != 0])
+    fits = np.array([r.id for r in folds if r.fold != 0 and r.third != 0])
+    assert np.allclose(model.mean, x[used].mean(axis=0)) and np.allclose(model.scale, x[used].std(axis=0) + 1e-6)
+    z = model.features(x[fits])
+    weight = np.where(y[fits] > 0, 1.0, 4.0)
+    left = z.T @ (z * weight[:, None])
+    penalty = how.ridge * max(np.trace(left) / left.shape[0], 1.0) * np.eye(len(left))
+    penalty[-1, -1] = 0
+    assert np.allclose(model.weights, np.linalg.solve(left + penalty, z.T @ (y[fits] * weight)), atol=1e-8)
+    rest = np.setdiff1d(used, fits)
+    bins = np.clip((model.raw(x[rest]) + 0.5) / 2 * how.bins, 0, how.bins - 1).astype(int)
+    filled = np.unique(bins)
+    counts = np.array([(bins == b).sum() for b in filled], float)
+    assert np.allclose(model.levels, classifier._pooled(counts, np.array([y[rest][bins == b].sum() for b in filled], float)))
+
+
 def edit_distance_to_part(pattern: str, text: str) -> int:
     row = [0] * (len(text) + 1)
     for i, p in enumerate(pattern, 1):

@@ -56,3 +56,31 @@ def test_pipeline_rules_are_fitted_on_documents_dropped_before(spark):
     assert any(not r.kept and not r.base_failed for r in judged)
     got = corpus_pipeline.quality_rules(spark, left, SF_DIR)
     assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in judged if r.kept)
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    some = [tuple(r) for r in docs.limit(30).collect()]
+    odd = [(None, None, None, None, None), (None, "", "en", "src1", 0), (900_001, None, "en", "src1", 0), (900_002, "", None, None, 0), (900_003, " \n", "en", "src1", 2)]
+    odd += [(900_004, "two texts under one id " * 9, "en", "src1", 9), (900_004, "another text under it " * 9, "en", "src2", 9)]
+    odd += [some[0], some[0], (900_005, "very long " * 30_000, "en", "src1", 300_000)]
+    frame = spark.createDataFrame(some + odd, docs.schema).repartition(3)
+    for name in ("label", "rep", "key", "score", "kept", "item_id", "mark", "part"):
+        frame = frame.withColumn(name, F.lit("other"))
+    given = Counter(tuple(r) for r in frame.collect())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, frame, SF_DIR)
+        assert out.columns == frame.columns, name
+        assert Counter(tuple(r) for r in out.collect()) <= given, name
+        assert stage(spark, frame.limit(0), SF_DIR).collect() == [], name
+    encoded = corpus_pipeline.encoding(spark, frame, SF_DIR)
+    assert encoded.count() == frame.count() and corpus_pipeline.encoding(spark, frame.limit(0), SF_DIR).collect() == []
+    assert all(r.round_trip for r in encoded.collect())
+
+
+def test_held_out_is_never_null(spark):
+    from newsloom.llm import classifier
+
+    got = QUERIES["op9_quality_classifier"](spark, SF_DIR)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.filter("held_out is null").isEmpty()
+    assert got.filter("held_out").count() == got.filter(classifier.fold(F.col("doc_id")) == 0).count()
