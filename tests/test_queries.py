@@ -29,4 +29,4 @@ def test_query(spark, con, name):
 
 def test_only_reductions_hierarchies_and_merges_have_no_sql():
     # their operators are tested against numpy or plain Python on small fixtures
-    assert set(QUERIES) - set(ORACLES) == {"text_topics", "hierarchical_topics", "reduced_embeddings", "merged_topics"}
+    assert set(QUERIES) - set(ORACLES) == {"text_topics", "hierarchical_topics", "reduced_embeddings", "merged_topics", "learned_topics"}

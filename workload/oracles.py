@@ -257,6 +257,25 @@ ORACLES["term_frequencies"] = f"""
 with {ITEMS},{term_tables("items")}
 select term, total from totals"""
 
+ORACLES["word_pairs"] = rf"""
+with {ITEMS},
+tokens as (
+  select seq, unnest(words) as word, generate_subscripts(words, 1) as pos
+  from (select seq, regexp_extract_all(lower(title || ' ' || summary), '[\p{{L}}\p{{N}}_]{{2,}}') as words from items)),
+known as (select word from tokens group by word having count(*) >= 2),
+pairs as (
+  select least(x.word, y.word) as a, greatest(x.word, y.word) as b, count(*) as n
+  from tokens x join tokens y on x.seq = y.seq and y.pos between x.pos + 1 and x.pos + 5
+  where x.word in (from known) and y.word in (from known) group by all),
+cells as (
+  select a, b, case when a = b then 2 * n else n end as n from pairs
+  union all select b, a, n from pairs where a <> b),
+sums as (select a as word, sum(n) as n from cells group by a),
+total as (select sum(n) as n from cells)
+select p.a, p.b, p.n, round(ln(c.n * cast(t.n as double) / (cast(x.n as double) * y.n)), 9) as weight
+from pairs p join cells c using (a, b) join sums x on x.word = a join sums y on y.word = b cross join total t
+where c.n * cast(t.n as double) / (cast(x.n as double) * y.n) > 1"""
+
 ORACLES["topic_keywords"] = f"""
 with {ITEMS},{term_tables("items")}
 select topic_id, cast(rank as int) as rank, term, round(score, 9) as score from ranked_terms where rank <= 15"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text, times, url
 from newsloom.lineage import checkpoint_dir, stored
-from newsloom.operators import cluster, collect, dedupe, density, hierarchy, keywords, neighbours, scoring, topics, upsert, watchlist
+from newsloom.operators import cluster, collect, dedupe, density, hierarchy, keywords, neighbours, scoring, topics, upsert, watchlist, word_vectors
 from newsloom.operators.vectors import fuzzy_edges, graph_layout
 from newsloom.plans import reports
 from newsloom.plans.run import TOPIC_PAYLOAD, RunResult, RunSettings, mine_topics
@@ -325,6 +325,25 @@ def text_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered.select("seq", "item_id", "topic_id")
 
 
+@query
+def word_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often two words of the items stand close together, and what that says."""
+    documents = stored(word_vectors.document_tokens(items(spark, sf_dir)), "document_tokens")
+    pairs = stored(word_vectors.cooccurrences(documents), "pairs")
+    words = word_vectors.word_counts(documents).filter(F.col("n") >= word_vectors.WordSettings().min_count)
+    weights = word_vectors.positive_information(pairs, stored(words, "words"))
+    return pairs.join(weights, ["a", "b"]).select("a", "b", "n", F.round("weight", 9).alias("weight"))
+
+
+@query
+def learned_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics of the items' texts by vectors learned from them, at every density."""
+    kept = kept_items(spark, sf_dir).drop("topic_id")
+    settings = cluster.ClusterSettings(min_topic_size=10, texts="learned")
+    clustered, _ = cluster.cluster_items(kept, settings, noise_handling="keep")
+    return clustered.select("seq", "item_id", "topic_id")
+
+
 NEAREST = 10
 
 
