@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text
+from newsloom.lineage import broadcast_if_small, stored
 
 # The elements of an RSS item or Atom entry that are read.
 ENTRY_FIELDS = (
@@ -52,17 +53,21 @@ def _repaired(fragment: Column) -> Column:
     return F.when(F.contains(fragment, F.lit("<![CDATA[")), fragment).otherwise(fixed)
 
 
+def _head_title(value: Column) -> Column:
+    """The first title before the first entry."""
+    head = F.regexp_extract(F.regexp_replace(value, r"(?s)<(?:item|entry)[\s>].*", ""), _HEAD_TITLE, 0)
+    return F.from_xml(F.concat(F.lit("<feed>"), head, F.lit("</feed>")), "title string")["title"]
+
+
 def _parsed(documents: DataFrame) -> DataFrame:
     parsed = documents.withColumn("doc", F.from_xml("value", FEED, {"mode": "PERMISSIVE"}))
     whole = F.coalesce("doc.channel.item", "doc.item", "doc.entry")
     broken = F.col("doc._corrupt_record").isNotNull() | F.col("doc").isNull()
     fragments = F.when(broken, F.regexp_extract_all("value", F.lit(_FRAGMENT), F.lit(0)))
-    head = F.regexp_extract(F.regexp_replace("value", r"(?s)<(?:item|entry)[\s>].*", ""), _HEAD_TITLE, 0)
-    head_title = F.from_xml(F.concat(F.lit("<feed>"), head, F.lit("</feed>")), "title string")["title"]
     return parsed.select(
         *documents.columns,
         broken.alias("broken"),
-        F.when(broken, head_title).otherwise(F.coalesce("doc.channel.title", "doc.title")).alias("feed_title"),
+        F.when(broken, _head_title(F.col("value"))).otherwise(F.coalesce("doc.channel.title", "doc.title")).alias("feed_title"),
         F.when(~broken, whole).alias("whole"),
         fragments.alias("fragments"),
     )
@@ -118,11 +123,14 @@ def feed_entries(documents: DataFrame) -> DataFrame:
     entry = exploded.select(
         *columns, "feed_title", "pos", F.coalesce("raw.entry", F.when(F.col("raw.fragment").isNotNull(), recovered)).alias("e")
     )
+    return _entry_rows(entry, [*columns, "feed_title", "pos"])
+
+
+def _entry_rows(parsed: DataFrame, columns: list[str]) -> DataFrame:
+    """The texts of the parsed entries ``e``, after ``columns``."""
     summary = F.coalesce("e.summary", "e.description", "e.content", "e.`content:encoded`", F.lit(""))
-    return entry.select(
+    return parsed.select(
         *columns,
-        "feed_title",
-        "pos",
         text.strip(F.coalesce("e.title", F.lit(""))).alias("title"),
         text.strip(summary).alias("summary"),
         text.strip(F.coalesce(_link("e"), F.lit(""))).alias("link"),
@@ -130,3 +138,61 @@ def feed_entries(documents: DataFrame) -> DataFrame:
         _author("e").alias("author"),
         F.coalesce("e.source.title", "e.source._VALUE").alias("source_title"),
     )
+
+
+def split_feed_entries(spark: SparkSession, path: str, element: str = "item") -> DataFrame:
+    """Entries of feed files of any size under ``path/feed=<name>/``, as ``feed_entries`` returns them.
+
+    A file is read in byte ranges (``spark.sql.files.maxPartitionBytes``) by as many
+    tasks; a record ends with the closing tag of ``element``: ``item`` for RSS, ``entry``
+    for Atom. So a row is one entry, not one file, and files of one call must be of one
+    kind: a file without that tag is a single record. The records are stored once,
+    and only one short row per byte range is summed up for the positions.
+
+    The feed title is the first title before the first entry. What a file's end cuts off
+    is left out, as are pieces without an opening tag; after such a piece inside a
+    file the positions leave a gap. A closing tag spelled out inside CDATA ends an entry.
+    """
+    if element not in ("item", "entry"):
+        raise ValueError("element must be item or entry")
+    closing = f"</{element}>"
+    records = spark.read.schema("value string, feed string").text(path, lineSep=closing)
+    opened = F.regexp_extract("value", rf"(?s)<{element}(?:\s[^>]*)?>.*", 0)
+    found = records.select(
+        "feed",
+        F.col("_metadata.file_path").alias("document"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("file_size"),
+        # the rows of a byte range follow each other in one task
+        F.monotonically_increasing_id().alias("row"),
+        (F.octet_length("value") + len(closing)).alias("n_bytes"),
+        F.nullif(opened, F.lit("")).alias("fragment"),
+        "value",
+    )
+    # only a file's first record has its head
+    before_entry = F.regexp_extract("value", rf"(?s)^(.*?)(?:<{element}[\s>]|$)", 1)
+    found = stored(found.withColumn("head", F.when(F.col("block") == 0, before_entry)).drop("value"), "feed_records")
+
+    blocks = found.groupBy("document", "block").agg(
+        F.min("row").alias("first"), F.max("row").alias("last"), F.sum("n_bytes").alias("n_bytes"),
+        F.max("file_size").alias("file_size"), F.min_by("head", "row").alias("head"),
+    )
+    by_file = Window.partitionBy("document")
+    before = by_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    rows = F.col("last") - F.col("first") + 1
+    # a file that ends inside a record has fewer bytes than its records with their closing tags
+    cut = F.sum("n_bytes").over(by_file) > F.col("file_size")
+    blocks = blocks.select(
+        "document",
+        "block",
+        (F.coalesce(F.sum(rows).over(before), F.lit(0)) - F.col("first")).alias("shift"),
+        F.when(cut & (F.col("block") == F.max("block").over(by_file)), F.col("last")).alias("cut_row"),
+        _head_title(F.min_by("head", "block").over(by_file)).alias("feed_title"),
+    )
+    placed = found.filter(F.col("fragment").isNotNull()).join(broadcast_if_small(stored(blocks, "feed_blocks")), ["document", "block"])
+    whole = placed.filter(F.col("cut_row").isNull() | (F.col("row") != F.col("cut_row")))
+    entry = F.from_xml(_repaired(F.concat("fragment", F.lit(closing))), ENTRY_FIELDS, {"mode": "PERMISSIVE"})
+    pos = (F.col("row") + F.col("shift")).cast("int")
+    return _entry_rows(
+        whole.select("feed", "document", "feed_title", pos.alias("pos"), entry.alias("e")), ["feed", "document", "feed_title", "pos"]
+    )

@@ -405,6 +405,12 @@ select seq, substr(sha256(canonical_url), 1, 16) as item_id, canonical_url, 'exa
   case when doc_id % 2 = 0 then source else 'writer ' || (doc_id % 7) end as publisher_name, 'en' as language
 from filled"""
 
+ORACLES["split_feed_scan"] = f"""
+with lines as (
+  select doc_id, source, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i
+  from documents)
+select source as feed, 'http://example.com/' || doc_id || '/' || i as link, {strip("line")} as title from lines"""
+
 ORACLES["collected_items"] = f"""
 with {LINES},{PLACED}
 select seq, substr(sha256(canonical_url), 1, 16) as item_id, source as source_name, title,

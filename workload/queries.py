@@ -550,6 +550,19 @@ def unreadable_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.unreadable_documents(landed).select("doc_id", "feed")
 
 
+@query
+def split_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of the documents as entries of few large feed files, read in byte ranges."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("feed"), F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    title = F.col("line")
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        title = F.replace(title, F.lit(plain), F.lit(entity))
+    item = F.concat(F.lit("<item><title>"), title, F.lit("</title><link>http://example.com/"), "doc_id", F.lit("/"), "i", F.lit("</link></item>"))
+    folder = fresh_folder(spark, "feeds")
+    lines.select("feed", item.alias("value")).write.partitionBy("feed").text(folder)
+    return feeds.split_feed_entries(spark, folder).select("feed", "link", "title")
+
+
 # Stored runs ----------------------------------------------------------------
 
 SIGNATURE = text.topic_signature
