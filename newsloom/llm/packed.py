@@ -2,11 +2,13 @@
 
 Layout of a file, integers little-endian:
 
-* header: magic, block size (u32), number of documents, of ids, of blocks (u64);
-* documents: id (i64), null flag (u8), number of ids (u64), each as one array;
 * blocks: minimum (u32), bit width (u8), exceptions (u16), packed differences,
   then exception places (u16) and values (u32);
-* index: the start of each block (u64) and of the index itself (u64).
+* documents: id (i64), null flag (u8), number of ids (u64), each as one array;
+* index: the start of each block (u64);
+* end: number of documents, of ids, of blocks (u64), block size (u32), magic.
+
+What is only known at the end stands there, so blocks are written as they are made.
 
 A block subtracts its minimum and packs the differences at the width that most of
 them need; the others are stored whole in the exception list.
@@ -35,17 +37,19 @@ from newsloom.lineage import stored
 from newsloom.llm.files import NewFile, Ranges, shared_folder
 from newsloom.llm.words import slices, words_of
 
-MAGIC = b"PFORTOK1"
-_HEADER = "<8sIQQQ"
+MAGIC = b"PFORTOK2"
+_END = "<QQQI8s"
 _BLOCK = "<IBH"
 
 
 @dataclass(frozen=True)
 class PackedBlocks:
-    """Ids per block (at most 65,535) and the percentile that sets a block's width."""
+    """Ids per block (at most 65,535), the percentile that sets a block's width, and about how
+    many bytes of text go into one file."""
 
     block: int = 1024
     percentile: float = 90.0
+    file_bytes: int = 128 << 20
 
 
 def encode_blocks(ids: np.ndarray, how: PackedBlocks) -> list[bytes]:
@@ -172,46 +176,45 @@ def write_token_files(documents: DataFrame, tokenizer: str, end: int, how: Packe
 
     A row of the manifest is one file: ``first, file, n_docs, n_tokens, base``, with
     ``base`` the ids in all files before it. Documents are range-partitioned by id
-    and sorted, each task writes one file, and only sizes of files are summed in
-    one task. Null ids come first; rows that repeat an id are ordered by text.
+    and sorted into as many files as their texts' bytes need, each task writes one file as
+    it goes, and only sizes of files are summed in one task. Null ids come first; rows that repeat an id are ordered by text.
     """
     how = how or PackedBlocks()
     spark = documents.sparkSession
     folder = shared_folder(spark, "tokens")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / how.file_bytes))
     ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(tokenizer)
         names: list[pa.Array] = []
         sizes: list[np.ndarray] = []
-        blocks: list[bytes] = []
+        starts: list[int] = []
         left = np.zeros(0, np.int32)
+        file = None
         for batch in batches:
             for part in slices(batch, most_bytes=3 << 20):
+                if file is None:
+                    file = NewFile(folder, f"part-{TaskContext.get().partitionId():05d}", ".tok")
                 ids, counts = with_end(*encode.encode(part.column("text")), end)
                 names.append(part.column("doc_id"))
                 sizes.append(counts)
                 left = np.concatenate([left, ids])
                 whole = len(left) // how.block * how.block
-                blocks += encode_blocks(left[:whole], how)
+                starts += map(file.append, encode_blocks(left[:whole], how))
                 left = left[whole:]
-        if not names:
+        if file is None:
             return
-        blocks += encode_blocks(left, how)
+        starts += map(file.append, encode_blocks(left, how))
         keys, counts = pa.concat_arrays(names), np.concatenate(sizes)
         n_ids = int(counts.sum())
-        file = NewFile(folder, f"part-{TaskContext.get().partitionId():05d}", ".tok")
-        file.append(struct.pack(_HEADER, MAGIC, how.block, len(keys), n_ids, len(blocks)))
         file.append(np.asarray(keys.fill_null(0)).astype("<i8").tobytes())
         file.append(np.asarray(keys.is_null().cast(pa.uint8())).tobytes())
         file.append(counts.astype("<u8").tobytes())
-        starts = file.size + np.concatenate([[0], np.cumsum([len(b) for b in blocks])[:-1]])
-        for block in blocks:
-            file.append(block)
-        index = file.append(starts.astype("<u8").tobytes())
-        file.append(struct.pack("<Q", index))
+        file.append(np.asarray(starts, "<u8").tobytes())
+        file.append(struct.pack(_END, len(keys), n_ids, len(starts), how.block, MAGIC))
         file.close()
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([file.uri]), pa.array([file.size]), pa.array([len(keys)]), pa.array([n_ids])],
@@ -224,7 +227,7 @@ def write_token_files(documents: DataFrame, tokenizer: str, end: int, how: Packe
 
 
 def _dealt_files(manifest: DataFrame) -> DataFrame:
-    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), manifest.count())
     return manifest.select("file", "file_bytes", "base").repartition(n, "file")
 
 
@@ -268,15 +271,15 @@ def ids_crc32(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _documents(ranges: Ranges, uri: str, size: int, base: int, group: int) -> Iterator[pa.RecordBatch]:
-    head = struct.unpack(_HEADER, ranges.read(uri, 0, struct.calcsize(_HEADER)))
-    magic, block, n_docs, n_ids, n_blocks = head
+    tail = struct.calcsize(_END)
+    n_docs, n_ids, n_blocks, block, magic = struct.unpack(_END, ranges.read(uri, size - tail, tail))
     if magic != MAGIC:
         raise ValueError(f"{uri} is not a token file")
-    tables = ranges.read(uri, struct.calcsize(_HEADER), 17 * n_docs)
+    length = 17 * n_docs + 8 * n_blocks
+    tables = ranges.read(uri, size - tail - length, length)
     keys, nulls = np.frombuffer(tables, "<i8", n_docs), np.frombuffer(tables, np.uint8, n_docs, 8 * n_docs).astype(bool)
     counts = np.frombuffer(tables, "<u8", n_docs, 9 * n_docs).astype(np.int64)
-    (index,) = struct.unpack("<Q", ranges.read(uri, size - 8, 8))
-    starts = np.append(np.frombuffer(ranges.read(uri, index, 8 * n_blocks), "<u8"), index).astype(np.int64)
+    starts = np.append(np.frombuffer(tables, "<u8", n_blocks, 17 * n_docs), size - tail - length).astype(np.int64)
     ends = np.cumsum(counts)
     left, at, doc = np.zeros(0, np.int64), 0, 0
     for first in range(0, n_blocks, group):

@@ -302,6 +302,16 @@ def test_token_files_round_trip(documents, texts, spark):
     assert sums == {(s, zlib.crc32(struct.pack(f"<{n}I", *ids))) for _, s, n, ids in expected}
 
 
+def test_number_of_token_files_follows_the_bytes(spark):
+    rows = [(i, f"document number {i} " * (i % 50)) for i in range(300)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    size = sum(len(t) for _, t in rows)
+    few = packed.write_token_files(documents, WORDS, END_ID)
+    many = packed.write_token_files(documents, WORDS, END_ID, packed.PackedBlocks(file_bytes=size // 40))
+    assert few.count() <= 4 and 30 <= many.count() <= 41
+    assert sorted(packed.read_digests(few).collect()) == sorted(packed.read_digests(many).collect())
+
+
 @pytest.mark.parametrize("text", ["a <|EndOfText|> b", "x<|STARTOFTEXT|>y", "<|endoftext|> <|EndOfText|>", "Plain, WORDS."])
 def test_word_ids_equal_whole_texts_around_special_tokens(text):
     tokenizer = Tokenizer.from_file(WORDS)
