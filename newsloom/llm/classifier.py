@@ -140,8 +140,8 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
 def _summed(rows: DataFrame, sums: object, size: int) -> np.ndarray:
     """The sum over all rows of vectors of a fixed size.
 
-    Each partition sums its own rows; 16 tasks add those sums, so the driver gets
-    16 vectors whatever the number of rows or partitions.
+    Each partition sums its own rows; 16 tasks add those sums as they arrive, holding one
+    vector each, so the driver gets 16 vectors whatever the number of rows or partitions.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,14 +155,17 @@ def _summed(rows: DataFrame, sums: object, size: int) -> np.ndarray:
                 [pa.array([least], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slot", "total"]
             )
 
-    def combine(group: pa.Table) -> pa.Table:
-        total = np.zeros(size)
-        for x in group.column("total"):
-            total += np.frombuffer(x.as_py())
-        return pa.table({"total": pa.array([total.tobytes()], pa.binary())})
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(size), 0
+        for batch in batches:
+            n += batch.num_rows
+            for x in batch.column("total"):
+                total += np.frombuffer(x.as_py())
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
 
     partials = rows.mapInArrow(partial, "slot int, total binary")
-    parts = partials.groupBy("slot").applyInArrow(combine, "total binary").collect()
+    parts = partials.repartition(16, "slot").select("total").mapInArrow(combine, "total binary").collect()
     return sum((np.frombuffer(x["total"]) for x in parts), np.zeros(size))
 
 
