@@ -184,12 +184,13 @@ def fit_classifier(table: DataFrame, labels: DataFrame, usable: Column, how: Ker
     """Fit on the labelled rows where ``usable`` holds, all of them.
 
     ``usable`` is a condition on ``doc_id``. A third of those rows only calibrates.
-    Without labels every score is 1.
+    A label that is given again counts once; an id with both labels counts as a row of
+    each; rows that repeat an id are learned from each. Without labels every score is 1.
     """
     how = how or KernelRidge()
     known = labels.filter(usable & F.col("quality").isin(0, 1)).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label")
-    )
+    ).distinct()
     rows = stored(table.join(known, "doc_id"), "classifier-rows")
     calibrates = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
     d = len(STATISTICS)
