@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text, times, url
 from newsloom.lineage import broadcast_if_small, stored
+from newsloom.operators.components import summed_before
 from newsloom.operators.upsert import one_per_key
 
 # Default limits of one run.
@@ -51,13 +52,13 @@ def placed_in_feed(entries: DataFrame) -> DataFrame:
     """Entries with ``place``, their position in all documents of their feed.
 
     Documents follow each other by the column ``document``; without it a feed is
-    one document. Only one short row per document is summed up, never an entry.
+    one document. Only one short row per document is summed up, never an entry, and
+    the documents of one feed are summed up in ranges.
     """
     if "document" not in entries.columns:
         return entries.withColumn("place", F.col("pos").cast("bigint"))
-    before = Window.partitionBy("feed").orderBy("document").rowsBetween(Window.unboundedPreceding, -1)
     sizes = entries.groupBy("feed", "document").agg((F.max("pos") + 1).alias("size"))
-    starts = sizes.select("feed", "document", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    starts = summed_before(sizes, ["feed"], ["document"], "size", into="start").drop("size")
     return entries.join(starts, ["feed", "document"]).withColumn("place", F.col("start") + F.col("pos"))
 
 

@@ -73,3 +73,23 @@ def numbered(df: DataFrame, *order: F.Column, into: str) -> DataFrame:
     )
     place = F.col("_offset") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return placed.withColumn("_partition", partition).join(offsets, "_partition").select(*df.columns, place.alias(into))
+
+
+def summed_before(df: DataFrame, group: list[str], order: list[str], value: str, into: str) -> DataFrame:
+    """Sum of ``value`` over the rows of the same group that come before a row.
+
+    Rows lie in ranges of (group, order), so a group with very many rows is spread
+    over many tasks; per range and group one partial sum is added up.
+    ``group`` and ``order`` are not null and together unique.
+    """
+    ranged = df.repartitionByRange(*group, *order).withColumn("_partition", F.spark_partition_id())
+    ranged = stored(ranged, "ranges")
+    inside = Window.partitionBy("_partition", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*group).orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("_partition", *group)
+        .agg(F.sum(value).alias("_size"))
+        .select("_partition", *group, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    )
+    found = ranged.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return found.join(offsets, ["_partition", *group]).select(*df.columns, (F.col("_offset") + F.col("_inside")).alias(into))

@@ -15,6 +15,7 @@ from newsloom.operators.components import numbered
 from newsloom.operators import cluster, collect, dedupe, keywords, scoring, topics
 from newsloom.plans import reports
 from newsloom.schemas import STATS
+from newsloom.shipping import add_package
 from newsloom.sources.store import RunStore, export_run
 
 
@@ -68,6 +69,7 @@ def mine_topics(
     shared folder; between them the plan stays lazy.
     """
     settings = settings or RunSettings()
+    add_package(items.sparkSession)
     survivors = stored(dedupe.survivors(items, settings.dedupe_strategy), "survivors")
     kept = stored(items.join(survivors.select("seq", "pos"), "seq"), "kept")
     clustered, cluster_stats = cluster.cluster_items(

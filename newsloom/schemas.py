@@ -54,4 +54,11 @@ REPLACED = {
     "topics": ("topic_volume", "narrative_signal_score"),
     "topic_buckets": ("count",),
 }
+# What look-ups ask for besides the keys.
+INDEXED = {
+    "runs": ("status",),
+    "items": ("content_hash", "canonical_url", "topic_signature"),
+    "topics": ("topic_id",),
+    "topic_buckets": (),
+}
 RUN_STATUSES = ("running", "completed", "failed")

@@ -17,12 +17,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from newsloom.lineage import stored
 from newsloom.operators import upsert
+from newsloom.shipping import add_package
 
 HASHES = 7
 BITS_PER_ROW = 10
@@ -42,6 +44,22 @@ def _places(first: np.ndarray, second: np.ndarray, size: int) -> np.ndarray:
         return (first.view(np.uint64)[:, None] + steps * (second.view(np.uint64) | np.uint64(1))[:, None]) % np.uint64(size)
 
 
+def _n_bits(n_rows: int) -> int:
+    """The size of a filter of so many values, a power of two."""
+    return 1 << max(6, (BITS_PER_ROW * n_rows - 1).bit_length())
+
+
+def _joined_bits(parts: list[np.ndarray], size: int) -> np.ndarray:
+    """One filter of at most ``size`` bytes that holds all values of filters of any sizes.
+
+    Sizes are powers of two, so a value's place in a smaller filter is its place in a
+    larger one modulo the smaller size.
+    """
+    longest = max(len(part) for part in parts)
+    whole = np.bitwise_or.reduce([np.tile(part, longest // len(part)) for part in parts])
+    return np.bitwise_or.reduce(whole.reshape(-1, size), axis=0) if size < longest else whole
+
+
 def _hashes(column: str) -> tuple[F.Column, F.Column]:
     value = F.col(column).cast("string")
     return F.xxhash64(value), F.xxhash64(value, F.lit(1))
@@ -51,14 +69,19 @@ class KeyedTable:
     """A table under ``base`` with unique ``keys``; ``indexed`` columns can be looked up.
 
     ``rows_per_file`` bounds files and with them the filters. Values are indexed as the
-    text that Spark casts them to.
+    text that Spark casts them to. Files with fewer than ``merge_below`` rows join the
+    next write, so many small writes do not leave many small files.
     """
 
-    def __init__(self, spark: SparkSession, base: str, schema: str, keys: Sequence[str], indexed: Sequence[str] = (), rows_per_file: int = 1_000_000):
+    def __init__(
+        self, spark: SparkSession, base: str, schema: str, keys: Sequence[str], indexed: Sequence[str] = (),
+        rows_per_file: int = 1_000_000, merge_below: int = 0,
+    ):
+        add_package(spark)
         self.spark, self.base, self.schema, self.keys = spark, base.rstrip("/"), schema, list(keys)
         self.columns = _parse_datatype_string(schema).names
         self.indexed, self.rows_per_file = list(dict.fromkeys([*keys, *indexed])), rows_per_file
-        self._bits = 1 << max(6, (BITS_PER_ROW * rows_per_file - 1).bit_length())
+        self.merge_below = merge_below
 
     # ---- versions
 
@@ -127,16 +150,19 @@ class KeyedTable:
         texts = sorted({str(v) for v in values if v is not None})
         if not texts:
             return []
-        first, second = _hashes("value")
-        asked = self.spark.createDataFrame([(t,) for t in texts], "value string").select("value", first.alias("a"), second.alias("b")).toArrow()
-        names, places = asked.column("value").to_pylist(), _places(asked.column("a").to_numpy(), asked.column("b").to_numpy(), self._bits)
+        asked = self.spark.createDataFrame([(t,) for t in texts], "value string")
+        asked = asked.select("value", *[x.alias(k) for k, x in zip("ab", _hashes("value"), strict=True)]).toArrow()
+        names, first, second = asked.column("value").to_pylist(), asked.column("a").to_numpy(), asked.column("b").to_numpy()
 
         def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            places: dict[int, np.ndarray] = {}
             for batch in batches:
                 found = []
                 for file, low, high, bits in zip(*(batch.column(c).to_pylist() for c in ("file", "least", "greatest", "bits")), strict=True):
                     own = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
-                    hit = own[places].all(axis=1)
+                    if len(own) not in places:
+                        places[len(own)] = _places(first, second, len(own))
+                    hit = own[places[len(own)]].all(axis=1)
                     if any(h and low <= name <= high for h, name in zip(hit.tolist(), names, strict=True)):
                         found.append(file)
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["file"])
@@ -155,40 +181,47 @@ class KeyedTable:
         folder = f"{self.base}/data/{uuid.uuid4().hex}"
         ordered = rows.select(*self.columns).repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
         ordered.write.option("maxRecordsPerFile", self.rows_per_file).parquet(folder)
-        size, indexed = self._bits, self.indexed
+        indexed = self.indexed
         hashed = [x.alias(f"{c}_{k}") for c in indexed for k, x in zip("ab", _hashes(c), strict=True)]
         texts = [F.col(c).cast("string").alias(f"{c}_t") for c in indexed]
         read = self.spark.read.schema(self.schema).parquet(folder).select(F.col("_metadata.file_path").alias("file"), *texts, *hashed)
 
+        def described(file: str, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            held = pa.Table.from_batches(parts)
+            rows = []
+            for c in indexed:
+                known = held.filter(held.column(f"{c}_t").is_valid())
+                ends = pc.min_max(known.column(f"{c}_t")).as_py()
+                # other tasks may have read more of the file
+                bits = np.zeros(_n_bits(4 * held.num_rows), np.uint8)
+                bits[_places(*(known.column(f"{c}_{k}").to_numpy() for k in "ab"), len(bits)).ravel()] = 1
+                rows.append((file, c, ends["min"], ends["max"], np.packbits(bits, bitorder="little").tobytes(), held.num_rows))
+            kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64()]
+            columns = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, ["file", "indexed", "least", "greatest", "bits", "n_rows"])
+
         def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[tuple[str, str], list] = {}
+            # a task reads one file after the other and holds what is indexed of one
+            current, parts = None, []
             for batch in batches:
-                files = np.array(batch.column("file").to_pylist(), object)
-                for file in dict.fromkeys(files.tolist()):
-                    some = batch.filter(pa.array(files == file))
-                    for c in indexed:
-                        own = held.setdefault((file, c), [None, None, np.zeros(size, np.uint8), 0])
-                        own[3] += some.num_rows
-                        known = some.column(f"{c}_t").is_valid()
-                        values = some.column(f"{c}_t").filter(known).to_pylist()
-                        if values:
-                            own[0] = min([*values, *([own[0]] if own[0] is not None else [])])
-                            own[1] = max([*values, *([own[1]] if own[1] is not None else [])])
-                            pair = [some.column(f"{c}_{k}").filter(known).to_numpy() for k in "ab"]
-                            own[2][_places(*pair, size).ravel()] = 1
-            rows = [(f, c, low, high, np.packbits(bits, bitorder="little").tobytes(), n) for (f, c), (low, high, bits, n) in held.items()]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-            kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["file", "indexed", "least", "greatest", "bits", "n_rows"])
+                for file in batch.column("file").unique().to_pylist():
+                    if file != current and parts:
+                        yield described(current, parts)
+                        parts = []
+                    current = file
+                    parts.append(batch.filter(pc.equal(batch.column("file"), file)))
+            if parts:
+                yield described(current, parts)
 
         def joined(group: pa.Table) -> pa.Table:
             # a large file may have been read in a few parts
-            bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in group.column("bits").to_pylist()])
+            n_rows = sum(group.column("n_rows").to_pylist())
+            bits = _joined_bits([np.frombuffer(x, np.uint8) for x in group.column("bits").to_pylist()], _n_bits(n_rows) // 8)
             low, high = ([v for v in group.column(c).to_pylist() if v is not None] for c in ("least", "greatest"))
             return pa.table({
                 "file": group.column("file")[:1], "indexed": group.column("indexed")[:1],
                 "least": pa.array([min(low, default=None)], pa.string()), "greatest": pa.array([max(high, default=None)], pa.string()),
-                "bits": pa.array([bits.tobytes()], pa.binary()), "n_rows": pa.array([sum(group.column("n_rows").to_pylist())], pa.int64()),
+                "bits": pa.array([bits.tobytes()], pa.binary()), "n_rows": pa.array([n_rows], pa.int64()),
             })
 
         return read.mapInArrow(index, _INDEX).groupBy("file", "indexed").applyInArrow(joined, _INDEX)
@@ -206,20 +239,42 @@ class KeyedTable:
         found = held.join(rows.select(*self.keys).distinct(), self.keys, "left_semi").select("_file").distinct().collect()
         return sorted(r["_file"] for r in found)
 
+    def _small(self, version: int) -> list[str]:
+        """The files that are to join the next write."""
+        if not self.merge_below:
+            return []
+        small = (F.col("indexed") == self.keys[0]) & (F.col("n_rows") < self.merge_below)
+        return sorted(r["file"] for r in self._manifest(version).filter(small).select("file").collect())
+
+    def _replace(self, version: int, files: Sequence[str], rows: DataFrame) -> None:
+        """The next version: ``rows`` in new files instead of ``files``."""
+        kept = self._manifest(version).filter(~F.col("file").isin(list(files)))
+        self._commit(kept.unionByName(self._written(rows)), version + 1)
+
     def upsert(self, rows: DataFrame, replaced: Sequence[str]) -> None:
         """Add rows; of known keys only the ``replaced`` columns change. Keys are unique and not null."""
         version = self.version()
         rows = stored(rows.select(*self.columns), "upsert")
-        touched = self._holding(rows, version)
+        touched = sorted({*self._holding(rows, version), *self._small(version)})
         merged = upsert.merge_upsert(self._open(touched).select(*self.columns), rows, self.keys, replaced)
-        kept = self._manifest(version).filter(~F.col("file").isin(touched))
-        self._commit(kept.unionByName(self._written(stored(merged, "upserted"))), version + 1)
+        self._replace(version, touched, stored(merged, "upserted"))
 
     def insert_new(self, rows: DataFrame, *order: F.Column) -> None:
-        """Append the first row of each key that is not there yet; no file is written anew."""
+        """Append the first row of each key that is not there yet; only small files are written anew."""
         version = self.version()
         rows = stored(rows, "insert")
         known = self._open(self._holding(rows, version)).select(*self.keys)
         fresh = stored(upsert.new_rows(known, rows, self.keys, *order).select(*self.columns), "inserted")
         if not fresh.isEmpty():
-            self._commit(self._manifest(version).unionByName(self._written(fresh)), version + 1)
+            small = self._small(version)
+            self._replace(version, small, fresh.unionByName(self._open(small).select(*self.columns)))
+
+    def delete(self, column: str, values: Sequence[object]) -> None:
+        """Drop the rows with one of a few values of an indexed column; files without them stay."""
+        version = self.version()
+        held = F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+        found = self._open(self.files_with(column, values, version)).filter(held) if version else None
+        if found is None or found.isEmpty():
+            return
+        touched = sorted(r[0] for r in found.select(F.col("_metadata.file_path")).distinct().collect())
+        self._replace(version, touched, stored(self._open(touched).filter(~held).select(*self.columns), "rest"))

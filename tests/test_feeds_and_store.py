@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -9,9 +11,10 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import times, url
 from newsloom.operators import collect, dedupe, upsert
+from newsloom.operators.components import summed_before
 from newsloom.schemas import TABLES
 from newsloom.sources import feeds
-from newsloom.sources.store import RunStore, timestamps_as_text
+from newsloom.sources.store import RunStore, export_runs, timestamps_as_text
 from newsloom.sources.suffixes import suffix_rules
 
 NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -133,3 +136,78 @@ def test_nested_timestamps_become_text(spark):
     df = spark.sql("select timestamp '2024-01-01 00:00:00Z' as t, array(named_struct('a', timestamp '2024-01-02 00:00:00Z')) as l")
     row = timestamps_as_text(df).first()
     assert row.t == "2024-01-01 00:00:00+00:00" and row.l[0].a == "2024-01-02 00:00:00+00:00"
+
+
+def test_sums_before_a_row_in_ranges(spark):
+    rng = random.Random(3)
+    rows = [(g, o, rng.randint(0, 9)) for g, n in (("a", 300), ("b", 1), ("c", 20)) for o in range(n)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, o int, v int")
+    got = {(r.g, r.o): r.s for r in summed_before(df, ["g"], ["o"], "v", into="s").collect()}
+    assert got == {(g, o): sum(v for h, q, v in rows if h == g and q < o) for g, o, _ in rows}
+    assert summed_before(df.limit(0), ["g"], ["o"], "v", into="s").collect() == []
+
+
+def test_documents_of_a_feed_follow_each_other(spark):
+    # documents without an order of their rows, one feed with many of them
+    rows = [("big", f"d{i:03d}", p, f"t{i}") for i in range(120) for p in range(1 + i % 3)] + [("small", "d000", 0, "t")]
+    entries = spark.createDataFrame(rows, "feed string, document string, pos int, title string")
+    got = sorted((r.feed, r.place) for r in collect.placed_in_feed(entries).collect())
+    assert got == [("big", i) for i in range(len(rows) - 1)] + [("small", 0)]
+    first = {r.document: r.place for r in collect.placed_in_feed(entries).filter("feed = 'big' and pos = 0").collect()}
+    assert first["d000"] == 0 and first["d001"] == 1 and first["d002"] == 3 and first["d003"] == 6
+
+
+def topics_table(spark, scores):
+    names = spark.createDataFrame([], TABLES["topics"]).schema
+    frame = spark.createDataFrame(scores, "run_id string, topic_id int, narrative_signal_score double")
+    return frame.select(*[F.col(f.name) if f.name in frame.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in names])
+
+
+def test_every_run_is_exported(spark, tmp_path):
+    scores = [("r 1", i, float(i % 4)) for i in range(6)] + [("r2", 7, None), ("r2", 8, -1.0)]
+    out = str(tmp_path / "out")
+    export_runs(items_of(spark, "r 1", "r2", "bare"), topics_table(spark, scores), out, 3)
+    lines = spark.read.schema("item_id string, run_id string, title string").json(f"{out}/items").collect()
+    assert sorted((r.run_id, r.item_id) for r in lines) == [(run, f"id{i}") for run in ("bare", "r 1", "r2") for i in range(2)]
+    arrays = spark.read.schema("value string, run_id string").text(f"{out}/topics").collect()
+    # a missing score counts as 0, ties go to the lower topic
+    assert {r.run_id: [t["topic_id"] for t in json.loads(r.value)] for r in arrays} == {"r 1": [3, 2, 1], "r2": [7, 8]}
+    assert "top_keywords" in json.loads(arrays[0].value)[0]
+    export_runs(items_of(spark, "r2"), topics_table(spark, []), out)
+    assert spark.read.schema("item_id string, run_id string").json(f"{out}/items").count() == 2
+
+
+def test_indexed_store_opens_few_files_and_merges_runs(spark, tmp_path):
+    store = RunStore(spark, str(tmp_path / "store"), "files", rows_per_file=20)
+    assert store.read("items").count() == store.look_up("items", "canonical_url", "u").count() == 0
+    rows = items_of(spark, *[f"r{i}" for i in range(40)])
+    store.save_items(rows.withColumn("canonical_url", F.concat("run_id", F.lit("/"), "item_id")))
+    files = store.keyed["items"].files()
+    found = store.look_up("items", "canonical_url", "r7/id1")
+    assert [(r.run_id, r.item_id) for r in found.collect()] == [("r7", "id1")]
+    assert len(found.inputFiles()) < len(files)
+    assert {r.run_id for r in store.read_items("r12").collect()} == {"r12"}
+    # a column without an index still answers, from the whole table
+    assert store.look_up("items", "item_id", "id0").count() == store.read("items").filter("title is null").count() / 2
+    store.purge(["r7", "none"])
+    assert store.read("items").count() == 78 and store.read_items("r7").count() == 0
+
+
+def test_writers_that_meet_take_turns(spark, tmp_path, monkeypatch):
+    store, other = (RunStore(spark, str(tmp_path / "store"), "files") for _ in range(2))
+    run = spark.createDataFrame([("a",)], "run_id string")
+    row = run.select(*[F.col(f.name) if f.name == "run_id" else F.lit(None).cast(f.dataType).alias(f.name) for f in store.read("runs").schema])
+    table, real, met = store.keyed["runs"], store.keyed["runs"]._commit, []
+
+    def late(manifest, version):
+        if not met:
+            met.append(version)
+            other.save_run(row.withColumn("run_id", F.lit("b")))
+        real(manifest, version)
+
+    monkeypatch.setattr(table, "_commit", late)
+    store.save_run(row)
+    assert sorted(r.run_id for r in store.read("runs").collect()) == ["a", "b"]
+    # two runs of one row each, one file
+    assert table.version() == 2 and len(table.files()) == 1

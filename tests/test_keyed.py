@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.sources.keyed import KeyedTable, WriteConflict
+from newsloom.sources.keyed import KeyedTable, WriteConflict, _joined_bits, _places
 
+ROOT = Path(__file__).resolve().parent.parent
 SCHEMA = "run_id string, id long, hash string, n int"
 
 
@@ -108,3 +114,63 @@ def test_empty_tables_and_nulls(spark, table):
     assert table.read().collect() == []
     table.upsert(spark.createDataFrame([("r", 1, None, None), ("r", 2, "x", 1)], SCHEMA), ["n"])
     assert [r.id for r in table.look_up("hash", ["x"]).collect()] == [2] and table.read().count() == 2
+
+
+def test_small_files_join_the_next_write(spark, tmp_path):
+    small = KeyedTable(spark, str(tmp_path / "kept"), SCHEMA, ["run_id", "id"], ["hash"], rows_per_file=50, merge_below=20)
+    for i in range(4):
+        small.upsert(rows(spark, [i], i).coalesce(1), ["n"])
+    assert len(small.files()) == 1
+    small.insert_new(rows(spark, range(3, 6), 9).coalesce(1))
+    assert {r.id: r.n for r in small.read().collect()} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 9, 5: 9}
+    # full files are left alone
+    small.upsert(rows(spark, range(100, 160), 1).coalesce(1), ["n"])
+    full = set(small.files())
+    small.upsert(rows(spark, [7], 1).coalesce(1), ["n"])
+    assert len(full & set(small.files())) >= 1 and small.read().count() == 67
+
+
+def test_deletes_replace_only_files_with_the_value(spark, table):
+    table.delete("run_id", ["r"])
+    assert table.version() == 0
+    table.upsert(rows(spark, range(200), 1).union(rows(spark, range(10), 1, "s")), ["n"])
+    before = set(table.files())
+    table.delete("run_id", ["s", "unknown"])
+    assert table.read().filter("run_id = 's'").count() == 0 and table.read().count() == 200
+    assert 0 < len(before - set(table.files())) < len(before)
+    version = table.version()
+    table.delete("run_id", ["s"])
+    assert table.version() == version
+    table.delete("run_id", ["r"])
+    assert table.read().count() == 0 and table.look_up("hash", ["h0000"]).count() == 0
+    table.upsert(rows(spark, [1], 5), ["n"])
+    assert [r.n for r in table.read().collect()] == [5]
+
+
+def test_filters_of_any_sizes_join_without_losing_values():
+    values = np.random.default_rng(1).integers(-(2**62), 2**62, (2, 90))
+    parts = []
+    for n_bits, some in [(256, slice(0, 10)), (1024, slice(10, 40)), (4096, slice(40, 90))]:
+        bits = np.zeros(n_bits, np.uint8)
+        bits[_places(values[0, some], values[1, some], n_bits).ravel()] = 1
+        parts.append(np.packbits(bits, bitorder="little"))
+    for size in (8, 64, 512, 4096):
+        joined = np.unpackbits(_joined_bits(parts, size), bitorder="little")
+        assert len(joined) == 8 * min(size, 512)
+        assert joined[_places(values[0], values[1], len(joined))].all()
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from newsloom.session import local_session
+from newsloom.sources.keyed import KeyedTable
+spark = local_session("2", spark__checkpoint__dir={str(tmp_path / "shared")!r})
+kept = KeyedTable(spark, {str(tmp_path / "kept")!r}, {SCHEMA!r}, ["id"])
+kept.upsert(spark.createDataFrame([("r", 1, "h", 2)], {SCHEMA!r}), ["n"])
+print("found", kept.look_up("id", [1]).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "found 1" in done.stdout, done.stderr[-2000:]

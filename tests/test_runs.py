@@ -105,7 +105,7 @@ def test_recovered_feed_title(landed):
     assert [r[0] for r in cut] == ["My & Feed"]
 
 
-@pytest.mark.parametrize("fmt", ["parquet", "json"])
+@pytest.mark.parametrize("fmt", ["parquet", "json", "files"])
 def test_run_is_stored_and_read_back(spark, items, tmp_path, fmt):
     store = RunStore(spark, str(tmp_path / "store"), fmt)
     assert store.read_items("run-a").count() == store.read_topics("run-a").count() == 0

@@ -749,3 +749,24 @@ select run_id, topic_signature, counts_by_bucket from records join listed using
 # The keyed tables hold what the plain ones do.
 ORACLES["file_upserted_topics"] = ORACLES["upserted_topics"]
 ORACLES["file_items_by_hash"] = ORACLES["items_by_hash"]
+ORACLES["stored_items_files"] = STORED_ITEMS
+ORACLES["stored_topics_files"] = ORACLES["stored_topics"]
+ORACLES["purged_tables_files"] = ORACLES["purged_tables"]
+
+ORACLES["stored_items_by_url"] = f"""
+with {RUN_ITEMS}
+select run_id, item_id, canonical_url, topic_id from run_items
+where canonical_url = (select min(canonical_url) from run_items)"""
+
+ORACLES["exported_run_items"] = f"""
+with {RUN_ITEMS}
+select item_id, title, replace({iso("published_at")}, 'T', ' ') as published_at, topic_id, run_id from run_items"""
+
+ORACLES["exported_run_topics"] = f"""
+with {RUN_RECORDS},
+placed as (
+  select *, cast(row_number() over (partition by run_id order by narrative_signal_score desc, topic_id) - 1 as int) as place
+  from records)
+select place, run_id, topic_id, topic_signature, topic_volume, replace({iso("last_seen_at")}, 'T', ' ') as last_seen_at,
+  narrative_signal_score
+from placed where place < 3"""

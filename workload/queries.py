@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,10 @@ from newsloom.operators.vectors import fuzzy_edges, graph_layout
 from newsloom.plans import reports
 from newsloom.plans.run import TOPIC_PAYLOAD, RunResult, RunSettings, mine_topics
 from newsloom.schemas import KEYS, REPLACED, TOPICS
+from newsloom.shipping import add_package
 from newsloom.sources import feeds
 from newsloom.sources.keyed import KeyedTable
-from newsloom.sources.store import RunStore, export_run, flat_columns
+from newsloom.sources.store import RunStore, export_run, export_runs, flat_columns
 from newsloom.sources.suffixes import suffix_rules
 from workload.items import as_of, entries, items, table
 
@@ -35,7 +37,12 @@ LOOKBACK_DAYS = 7
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
+    @wraps(fn)
+    def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+        add_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = registered
     return fn
 
 
@@ -856,6 +863,21 @@ def stored_items_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back_items(spark, sf_dir, "json")
 
 
+@query
+def stored_items_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_back_items(spark, sf_dir, "files")
+
+
+@query
+def stored_items_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All runs' items of the least URL, from the files that may hold it."""
+    store = RunStore(spark, fresh_folder(spark, "store"), "files")
+    found = storable_items(spark, sf_dir)
+    store.save_items(found)
+    least = found.agg(F.min("canonical_url")).first()[0]
+    return store.look_up("items", "canonical_url", least).select("run_id", "item_id", "canonical_url", "topic_id")
+
+
 def read_back_topics(spark: SparkSession, sf_dir: str, fmt: str) -> RunStore:
     """Topics written twice; the second write changes volume and domains, of which only the volume counts."""
     store = RunStore(spark, fresh_folder(spark, "store"), fmt)
@@ -885,6 +907,11 @@ def stored_topics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown_topics(read_back_topics(spark, sf_dir, "json").read_topics("src3"))
 
 
+@query
+def stored_topics_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown_topics(read_back_topics(spark, sf_dir, "files").read_topics("src3"))
+
+
 @query
 def stored_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = read_back_topics(spark, sf_dir, "parquet").read("topic_buckets")
@@ -916,10 +943,32 @@ def exported_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def purged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per run left in all four tables after two runs are purged."""
+def exported_run_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of every run as exported JSON lines."""
     found = storable_items(spark, sf_dir)
-    store = RunStore(spark, fresh_folder(spark, "store"))
+    folder = fresh_folder(spark, "export")
+    export_runs(found.drop("pos", "link"), storable_topics(found), folder)
+    schema = "item_id string, title string, published_at string, topic_id int, run_id string"
+    return spark.read.schema(schema).json(f"{folder}/items")
+
+
+@query
+def exported_run_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best topics of every run as the exported JSON arrays."""
+    found = storable_items(spark, sf_dir)
+    folder = fresh_folder(spark, "export")
+    export_runs(found.drop("pos", "link"), storable_topics(found), folder, 3)
+    parsed = F.from_json("value", f"array<struct<{TOPICS.replace(' timestamp,', ' string,')}>>")
+    arrays = spark.read.schema("value string, run_id string").text(f"{folder}/topics")
+    return arrays.select("run_id", F.posexplode(parsed).alias("place", "topic")).select(
+        "place", "run_id", "topic.topic_id", "topic.topic_signature", "topic.topic_volume",
+        "topic.last_seen_at", "topic.narrative_signal_score",
+    )
+
+
+def left_after_purge(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    found = storable_items(spark, sf_dir)
+    store = RunStore(spark, fresh_folder(spark, "store"), fmt)
     store.save_run(storable_runs(found))
     store.save_items(found)
     store.save_topics(storable_topics(found))
@@ -931,6 +980,17 @@ def purged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left[0].unionByName(left[1]).unionByName(left[2]).unionByName(left[3])
 
 
+@query
+def purged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per run left in all four tables after two runs are purged."""
+    return left_after_purge(spark, sf_dir, "parquet")
+
+
+@query
+def purged_tables_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return left_after_purge(spark, sf_dir, "files")
+
+
 @query
 def flat_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics as plain columns, nested values as JSON text, as a database takes them."""
