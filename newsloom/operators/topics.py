@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text, times
+from newsloom.lineage import broadcast_if_small, stored
 
 # List lengths in a topic record and the label of noise.
 NOISE = -1
@@ -89,24 +90,30 @@ def ranked_domains(items: DataFrame, n: int = COUNTED_DOMAINS) -> DataFrame:
     return rollup.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).drop("first_pos")
 
 
-def representatives(items: DataFrame, n: int = REPRESENTATIVES) -> DataFrame:
+def representatives(items: DataFrame, n: int = REPRESENTATIVES, texts: DataFrame | None = None) -> DataFrame:
     """The ``n`` best items per topic: heaviest feed, then newest, then first.
 
     Spark cuts the ranking to ``n`` rows per topic before the shuffle, so a large
-    topic never meets in one task.
+    topic never meets in one task. Items without title and summary find them in
+    ``texts`` by ``seq``, once they are ranked: a few rows per topic go to the
+    texts, and texts move only where the topics are too many for a broadcast.
     """
     order = Window.partitionBy(*TOPIC).orderBy(F.desc("source_weight"), F.desc("published_at"), F.asc("pos"))
-    return (
+    summary = F.substring("summary", 1, REPRESENTATIVE_SUMMARY).alias("summary")
+    shown = ["title", summary] if texts is None else ["seq"]
+    ranked = (
         without_noise(items)
         .select(
-            *TOPIC, "pos", "source_weight",
-            F.col("canonical_url").alias("url"), "title", F.col("publisher_domain").alias("domain"), "published_at",
-            F.substring("summary", 1, REPRESENTATIVE_SUMMARY).alias("summary"),
+            *TOPIC, "pos", "source_weight", F.col("canonical_url").alias("url"),
+            F.col("publisher_domain").alias("domain"), "published_at", *shown,
         )
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= n)
-        .drop("pos", "source_weight")
     )
+    if texts is not None:
+        chosen = broadcast_if_small(stored(ranked, "representatives"))
+        ranked = texts.select("seq", "title", summary).join(chosen, "seq")
+    return ranked.select(*TOPIC, "url", "title", "domain", "published_at", "summary", "rank")
 
 
 def _ranked_list(*fields: str) -> F.Column:
@@ -115,13 +122,16 @@ def _ranked_list(*fields: str) -> F.Column:
     return F.transform(listed, lambda row: F.struct(*[row[field].alias(field) for field in fields]))
 
 
-def topic_records(items: DataFrame, keywords: DataFrame, interval: str = "daily") -> DataFrame:
+def topic_records(
+    items: DataFrame, keywords: DataFrame, interval: str = "daily", texts: DataFrame | None = None
+) -> DataFrame:
     """One full record per topic.
 
     ``items`` needs the item columns plus ``topic_id`` and ``pos``; ``keywords``
     has ``run_id, topic_id, keywords``. The parts are all grouped by (run, topic), so
     they are joined where they already lie. Pass ``items`` that are stored (see
-    ``newsloom.lineage``): each part reads only its own columns of them.
+    ``newsloom.lineage``): each part reads only its own columns of them. Their titles
+    and summaries may stay in ``texts``, a table with the same ``seq``.
     """
     domains = (
         ranked_domains(items)
@@ -139,7 +149,7 @@ def topic_records(items: DataFrame, keywords: DataFrame, interval: str = "daily"
         .agg(F.array_sort(F.collect_list(F.struct("bucket_start", "count"))).alias("counts_by_bucket"))
     )
     chosen = (
-        representatives(items)
+        representatives(items, texts=texts)
         .groupBy(*TOPIC)
         .agg(_ranked_list("url", "title", "domain", "published_at", "summary").alias("representative_items"))
     )

@@ -57,6 +57,8 @@ class RunResult:
     stats: DataFrame
 
 
+# What an item has besides short columns; it stays behind while items are clustered.
+TEXTS = ("title", "summary", "json_payload")
 TOPIC_PAYLOAD = ("top_domains", "domain_counts", "score_breakdown")
 
 
@@ -66,7 +68,9 @@ def mine_topics(
     """Everything between collected items, which should be stored, and the tables.
 
     Intermediate tables that several later steps read are written once to the
-    shared folder; between them the plan stays lazy.
+    shared folder; between them the plan stays lazy. The survivors are written with
+    their texts; what clustering adds is a narrow table, which meets the texts for
+    the keywords and in the result.
     """
     settings = settings or RunSettings()
     add_package(items.sparkSession)
@@ -88,15 +92,18 @@ def mine_topics(
         # noise and item counts stay, the topics are fewer
         n_topics = topics.without_noise(clustered).agg(F.count_distinct("topic_id")).scalar()
         cluster_stats = cluster_stats.withColumn("n_topics", n_topics)
-    clustered = stored(clustered, "clustered")
-    words = keywords.topic_keywords(clustered, settings.clustering.top_n_words)
-    records = topics.topic_records(clustered, words, settings.bucket_interval)
+    columns = clustered.columns
+    clustered = stored(clustered.drop(*TEXTS), "clustered")
+    texts = kept.select("seq", *[c for c in TEXTS if c in columns])
+    labelled = clustered.select("seq", *topics.TOPIC).join(texts, "seq")
+    words = keywords.topic_keywords(labelled, settings.clustering.top_n_words)
+    records = topics.topic_records(clustered, words, settings.bucket_interval, texts)
     scored = scoring.score_topics(
         records, as_of, settings.watchlist_keywords, settings.watchlist_tickers, settings.watchlist
     )
     scored = stored(scored, "topics").withColumn("json_payload", F.struct(*TOPIC_PAYLOAD)).drop(*TOPIC_PAYLOAD)
     return RunResult(
-        items=topics.attach_signatures(clustered, scored),
+        items=topics.attach_signatures(clustered.join(texts, "seq").select(*columns), scored),
         topics=scored,
         top_topics=scoring.top_topics(scored, settings.top_k_topics),
         stats=reports.run_statistics(dedupe.dedupe_stats(survivors), cluster_stats, clustered),

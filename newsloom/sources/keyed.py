@@ -229,6 +229,8 @@ class KeyedTable:
     def _holding(self, rows: DataFrame, version: int) -> list[str]:
         """The files of a version that hold a key of ``rows``; of the others at most key columns are read."""
         files = self.files(version)
+        if not files:
+            return []
         if len(rows.select(self.keys[0]).limit(FILTERED_KEYS + 1).collect()) <= FILTERED_KEYS:
             for key in self.keys:
                 values = [r[0] for r in rows.select(F.col(key).cast("string")).distinct().collect()]
@@ -241,7 +243,7 @@ class KeyedTable:
 
     def _small(self, version: int) -> list[str]:
         """The files that are to join the next write."""
-        if not self.merge_below:
+        if not (self.merge_below and version):
             return []
         small = (F.col("indexed") == self.keys[0]) & (F.col("n_rows") < self.merge_below)
         return sorted(r["file"] for r in self._manifest(version).filter(small).select("file").collect())

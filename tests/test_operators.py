@@ -174,3 +174,24 @@ def test_colliding_keys(spark):
     best = upsert.one_per_key(rows, ["k"], -F.coalesce("score", F.lit(0.0)))
     assert sorted(r["v"] for r in best.collect()) == ["y", "z"]
     assert [tuple(r) for r in upsert.repeated_keys(rows, ["k"]).collect()] == [(1, 2)]
+
+
+def test_representatives_find_their_texts(spark):
+    published = datetime(2024, 1, 31, tzinfo=timezone.utc)
+    rows = [
+        (i, "r", i % 3 - 1, i, 1.0 + i % 2, published, f"http://x.com/{i}", "x.com", f"t{i}", "s" * (150 + i))
+        for i in range(100)
+    ]
+    full = spark.createDataFrame(
+        rows,
+        "seq bigint, run_id string, topic_id int, pos bigint, source_weight double, published_at timestamp,"
+        " canonical_url string, publisher_domain string, title string, summary string",
+    )
+    whole = topics.representatives(full)
+    apart = topics.representatives(full.drop("title", "summary"), texts=full.select("seq", "title", "summary"))
+    assert apart.columns == whole.columns
+    found = sorted(map(tuple, apart.collect()))
+    assert found == sorted(map(tuple, whole.collect())) and len(found) == 10
+    assert max(len(r[6]) for r in found) <= 200
+    plan = apart._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
