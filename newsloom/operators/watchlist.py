@@ -32,6 +32,19 @@ def _grams(value: str, n: Column | int) -> Column:
     return F.array_distinct(F.transform(starts, lambda at: F.substr(F.col(value), at, size)))
 
 
+def _title_grams(title: str, n: int) -> Column:
+    """The distinct runs of ``n`` characters of a text at least as long, in time that grows with its length.
+
+    Looking a run up by its place would count the characters before it each time.
+    """
+    letters = F.split(F.col(title), "")
+    runs = letters
+    for i in range(1, n):
+        # past the end of the text a run is null
+        runs = F.zip_with(runs, F.slice(letters, F.lit(i + 1), F.size(letters)), lambda run, letter: F.concat(run, letter))
+    return F.array_distinct(F.array_compact(runs))
+
+
 def matching_terms(titles: DataFrame, terms: DataFrame, gram: int = GRAM) -> DataFrame:
     """``id, term`` of every title of ``titles(id, title)`` that contains a term, case ignored.
 
@@ -47,7 +60,7 @@ def matching_terms(titles: DataFrame, terms: DataFrame, gram: int = GRAM) -> Dat
     # one length per value up to ``gram``
     lengths = sorted(r["n"] for r in asked.select("n").distinct().collect())
     filed = [
-        distinct.filter(F.length("title") >= n).select("at", F.lit(n).alias("n"), F.explode(_grams("title", n) if n else F.array(F.lit(""))).alias("gram"))
+        distinct.filter(F.length("title") >= n).select("at", F.lit(n).alias("n"), F.explode(_title_grams("title", n) if n else F.array(F.lit(""))).alias("gram"))
         for n in lengths
     ]
     if not filed:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -109,3 +110,15 @@ def test_merging_checks_its_options(spark):
     with pytest.raises(ValueError):
         keywords.merge_topics(df, 0, sizes)
     assert keywords.merge_topics(df, 2, sizes).collect() == []
+
+
+def test_runs_of_a_long_title_take_time_by_its_length(spark):
+    # one title of a few hundred thousand characters beside short ones of any script
+    titles = ["x" * 300_000 + "needle", "ab", "a", "", "né\U0001f600é", "aaaa"]
+    frame = spark.createDataFrame(list(enumerate(titles)), "id bigint, title string")
+    for n in (1, 2, 3):
+        rows = frame.filter(F.length("title") >= n).select("id", watchlist._title_grams("title", n).alias("g"))
+        start = time.perf_counter()
+        got = {r.id: sorted(r.g) for r in rows.collect()}
+        assert time.perf_counter() - start < 20
+        assert got == {i: sorted({t[k : k + n] for k in range(len(t) - n + 1)}) for i, t in enumerate(titles) if len(t) >= n}
