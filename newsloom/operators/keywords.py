@@ -66,7 +66,21 @@ def topic_keywords(items: DataFrame, top_n: int = KEYWORDS_PER_TOPIC) -> DataFra
 
     The counts are stored once, because weights, totals and sizes all read them.
     """
-    ranked = ranked_keywords(stored(term_counts(items), "term_counts"), top_n)
+    return listed_keywords(stored(term_counts(items), "term_counts"), top_n)
+
+
+def moved_counts(counts: DataFrame, moves: DataFrame) -> DataFrame:
+    """The counts of :func:`term_counts` after topics got the ids of ``moves(topic_id, new_id)``; the others keep theirs.
+
+    Terms are added up per topic, so the texts are not cut into terms again.
+    """
+    moved = counts.join(broadcast_if_small(moves), "topic_id", "left").withColumn("topic_id", F.coalesce("new_id", "topic_id"))
+    return moved.groupBy(*TOPIC, "term").agg(F.sum("n").alias("n"))
+
+
+def listed_keywords(counts: DataFrame, top_n: int = KEYWORDS_PER_TOPIC) -> DataFrame:
+    """:func:`topic_keywords` from stored counts."""
+    ranked = ranked_keywords(counts, top_n)
     listed = F.array_sort(F.collect_list(F.struct("rank", "term")))
     return ranked.groupBy(*TOPIC).agg(F.transform(listed, lambda row: row["term"]).alias("keywords"))
 

@@ -79,13 +79,16 @@ def mine_topics(
     clustered, cluster_stats = cluster.cluster_items(
         kept, settings.clustering, settings.min_items_to_cluster, settings.noise_handling, vectors
     )
+    counts = None
     if settings.clustering.nr_topics:
         counts = stored(keywords.term_counts(clustered), "term_counts")
         volumes = topics.without_noise(clustered).groupBy("topic_id").agg(F.count("*").alias("volume"))
         merge = keywords.merge_topics if settings.clustering.merging == "repeated" else keywords.reduce_topics
         merged = merge(counts, settings.clustering.nr_topics, volumes)
+        moves = stored(renumbered(clustered, merged), "renumbered")
+        counts = stored(keywords.moved_counts(counts, moves), "term_counts")
         clustered = (
-            clustered.join(broadcast_if_small(renumbered(clustered, merged)), "topic_id", "left")
+            clustered.join(broadcast_if_small(moves), "topic_id", "left")
             .withColumn("topic_id", F.coalesce("new_id", "topic_id"))
             .drop("new_id")
         )
@@ -95,8 +98,10 @@ def mine_topics(
     columns = clustered.columns
     clustered = stored(clustered.drop(*TEXTS), "clustered")
     texts = kept.select("seq", *[c for c in TEXTS if c in columns])
-    labelled = clustered.select("seq", *topics.TOPIC).join(texts, "seq")
-    words = keywords.topic_keywords(labelled, settings.clustering.top_n_words)
+    if counts is None:
+        labelled = clustered.select("seq", *topics.TOPIC).join(texts, "seq")
+        counts = stored(keywords.term_counts(labelled), "term_counts")
+    words = keywords.listed_keywords(counts, settings.clustering.top_n_words)
     records = topics.topic_records(clustered, words, settings.bucket_interval, texts)
     scored = scoring.score_topics(
         records, as_of, settings.watchlist_keywords, settings.watchlist_tickers, settings.watchlist

@@ -195,3 +195,13 @@ def test_representatives_find_their_texts(spark):
     assert max(len(r[6]) for r in found) <= 200
     plan = apart._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan
+
+
+def test_counts_of_moved_topics_are_those_of_their_items(spark):
+    rows = [(0, "ab cd ab", "r"), (1, "cd ef", "r"), (2, "ab", "r"), (2, "gh", "s"), (-1, "ab", "r")]
+    found = spark.createDataFrame([(t, x, "", r) for t, x, r in rows], "topic_id int, title string, summary string, run_id string")
+    moves = spark.createDataFrame([(0, 1), (1, 0), (5, 0)], "topic_id int, new_id int")
+    moved = found.join(moves, "topic_id", "left").withColumn("topic_id", F.coalesce("new_id", "topic_id"))
+    got = keywords.moved_counts(keywords.term_counts(found), moves)
+    expected = keywords.term_counts(moved)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect())) and got.schema == expected.schema
