@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 # Lookup tables up to this estimated size are broadcast even where the session
 # has switched Spark's own threshold off.
@@ -61,6 +62,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+def stored_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` itself where :func:`stored` returned it, so that no table is copied unchanged; else stored."""
+    return df if "_stored_at" in vars(df) else stored(df, label)
+
+
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows of a schema, known to the planner to be none."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in _parse_datatype_string(schema).fields]
+    return spark.range(1).filter(F.lit(False)).select(*columns)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that :func:`stored` returned and that nothing reads any more."""
     for table in tables:

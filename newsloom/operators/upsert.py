@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.times import bucket_instant
+from newsloom.lineage import broadcast_if_small, stored
 
 
 def one_per_key(rows: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
@@ -46,6 +48,23 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *order:
     return one_per_key(fresh, keys, *order) if order else fresh.dropDuplicates([*keys])
 
 
+def first_rows(rows: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
+    """The first row of each key of stored rows, as :func:`one_per_key` has it; without ``order`` any one row.
+
+    Keys are counted without the other columns. Rows whose key occurs once, mostly all
+    of them, then stay where they are, and only rows of repeated keys are shuffled.
+    """
+    repeated = stored(repeated_keys(rows.select(*keys), keys).select(*[F.col(k).alias(f"_{k}") for k in keys]), "repeated")
+    if repeated.isEmpty():
+        return rows
+    # keys may be null, and null keys are one key
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    known = broadcast_if_small(repeated)
+    several = rows.join(known, same, "left_semi")
+    first = one_per_key(several, keys, *order) if order else several.dropDuplicates([*keys])
+    return rows.join(known, same, "left_anti").unionByName(first)
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """Target plus the first source row of each new key; known keys stay untouched."""
     return target.unionByName(new_rows(target, source, keys, *order).select(*target.columns))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
-from newsloom.lineage import stored
+from newsloom.lineage import empty, stored, stored_once
 from newsloom.operators import upsert
 from newsloom.shipping import add_package
 
@@ -98,7 +98,7 @@ class KeyedTable:
 
     def _manifest(self, version: int) -> DataFrame:
         if not version:
-            return self.spark.createDataFrame([], _INDEX)
+            return empty(self.spark, _INDEX)
         fs, path = self._fs()
         jvm = self.spark.sparkContext._jvm
         stream = fs.open(jvm.org.apache.hadoop.fs.Path(path, f"{version:012d}-v"))
@@ -137,7 +137,7 @@ class KeyedTable:
 
     def _open(self, files: list[str]) -> DataFrame:
         if not files:
-            return self.spark.createDataFrame([], self.schema)
+            return empty(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(*files)
 
     def read(self, version: int | None = None) -> DataFrame:
@@ -256,18 +256,23 @@ class KeyedTable:
     def upsert(self, rows: DataFrame, replaced: Sequence[str]) -> None:
         """Add rows; of known keys only the ``replaced`` columns change. Keys are unique and not null."""
         version = self.version()
-        rows = stored(rows.select(*self.columns), "upsert")
+        rows = stored_once(rows, "upsert").select(*self.columns)
         touched = sorted({*self._holding(rows, version), *self._small(version)})
         merged = upsert.merge_upsert(self._open(touched).select(*self.columns), rows, self.keys, replaced)
         self._replace(version, touched, stored(merged, "upserted"))
 
     def insert_new(self, rows: DataFrame, *order: F.Column) -> None:
-        """Append the first row of each key that is not there yet; only small files are written anew."""
+        """Append the first row of each key that is not there yet; only small files are written anew.
+
+        Whole rows are copied only where some of them are known.
+        """
         version = self.version()
-        rows = stored(rows, "insert")
-        known = self._open(self._holding(rows, version)).select(*self.keys)
-        fresh = stored(upsert.new_rows(known, rows, self.keys, *order).select(*self.columns), "inserted")
-        if not fresh.isEmpty():
+        rows = stored_once(rows, "insert")
+        held = self._holding(rows, version)
+        if held:
+            rows = stored(rows.join(self._open(held).select(*self.keys), self.keys, "left_anti").select(*rows.columns), "unknown")
+        fresh = upsert.first_rows(rows, self.keys, *order).select(*self.columns)
+        if not rows.isEmpty():
             small = self._small(version)
             self._replace(version, small, fresh.unionByName(self._open(small).select(*self.columns)))
 
@@ -279,4 +284,4 @@ class KeyedTable:
         if found is None or found.isEmpty():
             return
         touched = sorted(r[0] for r in found.select(F.col("_metadata.file_path")).distinct().collect())
-        self._replace(version, touched, stored(self._open(touched).filter(~held).select(*self.columns), "rest"))
+        self._replace(version, touched, self._open(touched).filter(~held).select(*self.columns))

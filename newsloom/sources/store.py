@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, TimestampType, _parse_datatype_string
 
 from newsloom.functions.times import format_stored
-from newsloom.lineage import stored
+from newsloom.lineage import stored, stored_once
 from newsloom.operators import upsert
 from newsloom.schemas import INDEXED, KEYS, REPLACED, TABLES
 from newsloom.sources.keyed import KeyedTable, WriteConflict
@@ -180,7 +180,7 @@ class RunStore:
         columns = _parse_datatype_string(TABLES["items"]).names
         order = [F.col("seq")] if "seq" in items.columns else []
         if self.keyed:
-            return self._in_turn(self.keyed["items"].insert_new, stored(items, "items"), *order)
+            return self._in_turn(self.keyed["items"].insert_new, stored_once(items, "items"), *order)
         known = self._touched("items", items.select("run_id"))
         fresh = stored(upsert.new_rows(known, items, KEYS["items"], *order).select(*columns), "items")
         if fresh.isEmpty():
@@ -194,7 +194,7 @@ class RunStore:
 
         Of several topics with one signature in a run the best-scored one stays.
         """
-        topics = stored(topics, "topics")
+        topics = stored_once(topics, "topics")
         score = -F.coalesce("narrative_signal_score", F.lit(0.0))
         unique = stored(upsert.one_per_key(topics, KEYS["topics"], score, F.col("topic_id")), "topics")
         self._upsert("topics", unique)

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from newsloom.lineage import stored
 from newsloom.sources.keyed import KeyedTable, WriteConflict, _joined_bits, _places
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -79,6 +80,23 @@ def test_inserts_ignore_known_keys_and_append(spark, table):
     assert table.version() == version
 
 
+def test_first_inserts_of_stored_rows_copy_none(spark, table, tmp_path, monkeypatch):
+    monkeypatch.setattr("newsloom.lineage.checkpoint_dir", lambda spark: str(tmp_path / "copies"))
+    source = stored(rows(spark, range(100), 1).unionByName(rows(spark, [7, 8], 0)), "source")
+    table.insert_new(source, F.col("n"))
+    assert {r.id: r.n for r in table.read().collect()} == {i: 0 if i in (7, 8) else 1 for i in range(100)}
+    copies = [spark.read.parquet(str(path)).columns for path in (tmp_path / "copies").iterdir() if not path.name.startswith("source-")]
+    assert not [columns for columns in copies if "hash" in columns]
+
+
+def test_deletes_copy_no_rows(spark, table, tmp_path, monkeypatch):
+    table.insert_new(rows(spark, range(100), 1).unionByName(rows(spark, range(100), 2, "s")))
+    monkeypatch.setattr("newsloom.lineage.checkpoint_dir", lambda spark: str(tmp_path / "copies"))
+    table.delete("run_id", ["r"])
+    assert {(r.run_id, r.n) for r in table.read().collect()} == {("s", 2)} and table.read().count() == 100
+    assert not (tmp_path / "copies").exists()
+
+
 def test_many_keys_are_found_without_filters(spark, table, monkeypatch):
     monkeypatch.setattr("newsloom.sources.keyed.FILTERED_KEYS", 3)
     table.upsert(rows(spark, range(100), 1), ["n"])

@@ -176,6 +176,18 @@ def test_colliding_keys(spark):
     assert [tuple(r) for r in upsert.repeated_keys(rows, ["k"]).collect()] == [(1, 2)]
 
 
+def test_first_rows_are_one_per_key_and_leave_single_keys_alone(spark):
+    rows = [(1, "a", 2, "x"), (1, "a", 1, "y"), (1, None, 4, "z"), (1, None, 3, "u"), (None, None, 1, "v"), (2, "b", 1, "w")]
+    found = spark.createDataFrame(rows, "k int, l string, n int, v string")
+    expected = upsert.one_per_key(found, ["k", "l"], F.col("n"))
+    first = upsert.first_rows(found, ["k", "l"], F.col("n"))
+    assert first.columns == found.columns and sorted(r["v"] for r in first.collect()) == ["u", "v", "w", "y"]
+    assert sorted(map(repr, first.collect())) == sorted(map(repr, expected.collect()))
+    assert upsert.first_rows(found, ["k", "l"]).count() == 4
+    single = found.filter("v in ('x', 'z', 'w')")
+    assert "Exchange" not in upsert.first_rows(single, ["k", "l"], F.col("n"))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_representatives_find_their_texts(spark):
     published = datetime(2024, 1, 31, tzinfo=timezone.utc)
     rows = [

@@ -68,16 +68,30 @@ def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _title_and_rest() -> tuple[Column, Column]:
+    """The first line of a text and what follows it."""
+    line_end = F.instr("text", "\n")
+    first = F.when(line_end > 0, F.col("text").substr(F.lit(1), line_end - 1)).otherwise(F.col("text"))
+    rest = F.when(line_end > 0, F.col("text").substr(line_end + 1, F.length("text"))).otherwise("")
+    return text.strip(first), text.strip(rest)
+
+
+def _weight() -> Column:
+    feed = F.substring("source", 4, 10).cast("int")
+    return (feed % 10 * 5 + 50).cast("double") / 100
+
+
+def _summary_or_title() -> Column:
+    return F.when(F.col("summary") != "", F.col("summary")).otherwise(F.col("title"))
+
+
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document, as a feed entry joined to its feed.
 
     Both sides grow with the documents, so they meet in a merge join on the
     unique ``doc_id``; the texts are never broadcast and move once.
     """
-    line_end = F.instr("text", "\n")
-    first = F.when(line_end > 0, F.col("text").substr(F.lit(1), line_end - 1)).otherwise(F.col("text"))
-    rest = F.when(line_end > 0, F.col("text").substr(line_end + 1, F.length("text"))).otherwise("")
-    feed = F.substring("source", 4, 10).cast("int")
+    title, summary = _title_and_rest()
     return (
         table(spark, sf_dir, "documents")
         .hint("merge")
@@ -85,9 +99,9 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("doc_id").alias("seq"),
             F.col("source").alias("source_name"),
-            ((feed % 10 * 5 + 50).cast("double") / 100).alias("source_weight"),
-            text.strip(first).alias("title"),
-            text.strip(rest).alias("summary"),
+            _weight().alias("source_weight"),
+            title.alias("title"),
+            summary.alias("summary"),
             "link",
             "published_at",
             "topic_id",
@@ -98,13 +112,12 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item rows: canonical URL, domain, summary fallback, lengths and hashes."""
     raw = entries(spark, sf_dir)
-    has_summary = F.col("summary") != ""
     filled = raw.withColumns(
         {
             "run_id": F.lit(RUN_ID),
             "canonical_url": url.normalize_url(F.col("link")),
-            "has_summary": has_summary,
-            "summary": F.when(has_summary, F.col("summary")).otherwise(F.col("title")),
+            "has_summary": F.col("summary") != "",
+            "summary": _summary_or_title(),
         }
     )
     hashed = filled.withColumns(
@@ -115,3 +128,45 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     return url.with_registered_domain(hashed, "canonical_url", suffix_rules(spark), "publisher_domain")
+
+
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the file and the row they are read from, which name a document even where ids repeat."""
+    return table(spark, sf_dir, "documents").select(
+        "*", F.col("_metadata.row_index").alias("_row"), F.col("_metadata.file_path").alias("_file")
+    )
+
+
+def items_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`items` without title and summary, for :func:`with_texts`.
+
+    Lengths and hashes are taken where a document is read, so texts are neither moved
+    nor kept.
+    """
+    title, summary = _title_and_rest()
+    described = (
+        _placed(spark, sf_dir)
+        .withColumns({"title": title, "summary": summary})
+        .withColumns({"has_summary": F.col("summary") != "", "summary": _summary_or_title()})
+        .select(
+            "doc_id", "_file", "_row", "source", "has_summary",
+            text.text_length(F.col("title"), F.col("summary")).alias("text_len"),
+            text.content_hash(F.col("title"), F.col("summary")).alias("content_hash"),
+        )
+    )
+    joined = described.join(_links(spark, sf_dir), "doc_id").select(
+        F.col("doc_id").alias("seq"), F.col("source").alias("source_name"), _weight().alias("source_weight"),
+        "link", "published_at", "topic_id", F.lit(RUN_ID).alias("run_id"),
+        url.normalize_url(F.col("link")).alias("canonical_url"),
+        "has_summary", "text_len", "content_hash", "_file", "_row",
+    )
+    hashed = joined.withColumn("item_id", text.url_hash(F.col("canonical_url")))
+    return url.with_registered_domain(hashed, "canonical_url", suffix_rules(spark), "publisher_domain")
+
+
+def with_texts(spark: SparkSession, sf_dir: str, found: DataFrame) -> DataFrame:
+    """Rows of :func:`items_apart` with the title and summary of the document each was made from."""
+    title, summary = _title_and_rest()
+    texts = _placed(spark, sf_dir).select("_row", "_file", "text")
+    joined = found.join(texts, ["_row", "_file"])
+    return joined.withColumns({"title": title, "summary": summary}).withColumn("summary", _summary_or_title()).drop("_row", "_file", "text")

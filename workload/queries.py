@@ -26,7 +26,7 @@ from newsloom.sources import feeds
 from newsloom.sources.keyed import KeyedTable
 from newsloom.sources.store import RunStore, export_run, export_runs, flat_columns
 from newsloom.sources.suffixes import suffix_rules
-from workload.items import as_of, entries, items, table
+from workload.items import as_of, entries, items, items_apart, table, with_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -50,9 +50,22 @@ def shown(ts: Column | str) -> Column:
     return times.format_iso8601(F.col(ts) if isinstance(ts, str) else ts)
 
 
+def whole_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated items with their texts, which only the items that stay fetch.
+
+    The deduplication reads its rows twice, so they are stored: no text is hashed twice.
+    """
+    apart = stored(items_apart(spark, sf_dir), "items_apart")
+    kept = with_texts(spark, sf_dir, dedupe.deduplicate(apart))
+    return kept.select(
+        "seq", "source_name", "source_weight", "title", "summary", "link", "published_at", "topic_id", "run_id", "canonical_url",
+        "has_summary", "item_id", "text_len", "content_hash", "publisher_domain", "pos",
+    )
+
+
 def kept_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deduplicated items, stored because several parts of a query read them."""
-    return stored(dedupe.deduplicate(items(spark, sf_dir)), "items")
+    return stored(whole_items(spark, sf_dir), "items")
 
 
 def narrow_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +151,7 @@ def items_per_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def deduplicated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.deduplicate(items(spark, sf_dir)).select(
+    return whole_items(spark, sf_dir).select(
         "seq", "pos", "item_id", "canonical_url", "content_hash", "source_weight",
         shown("published_at").alias("published_at"), "title", "summary",
     )
@@ -192,7 +205,7 @@ def top_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def representative_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = dedupe.deduplicate(items(spark, sf_dir))
+    kept = whole_items(spark, sf_dir)
     return topics.representatives(kept).select(
         "topic_id", "rank", "url", "title", "domain", shown("published_at").alias("published_at"), "summary"
     )
@@ -579,7 +592,7 @@ SIGNATURE = text.topic_signature
 
 def run_items(spark: SparkSession, sf_dir: str, narrow: bool = True) -> DataFrame:
     """Kept items, each feed being one run, with a signature per topic label."""
-    kept = narrow_items(spark, sf_dir) if narrow else dedupe.deduplicate(items(spark, sf_dir))
+    kept = narrow_items(spark, sf_dir) if narrow else whole_items(spark, sf_dir)
     label = F.concat(F.lit("topic"), "topic_id")
     return kept.withColumns(
         {"run_id": F.col("source_name"), "topic_signature": SIGNATURE(F.array(label), F.array().cast("array<string>"))}
