@@ -33,19 +33,25 @@ def corpus_terms(counts: DataFrame) -> DataFrame:
     return counts.groupBy("run_id", "term").agg(F.sum("n").alias("total"))
 
 
-def weighted_terms(counts: DataFrame) -> DataFrame:
+def topic_words(counts: DataFrame) -> DataFrame:
+    """How many words each topic has: ``run_id, topic_id, words``, stored because weights and scores read it."""
+    return stored(counts.groupBy(*TOPIC).agg(F.sum("n").alias("words")), "topic_words")
+
+
+def weighted_terms(counts: DataFrame, words: DataFrame | None = None) -> DataFrame:
     """``run_id, topic_id, term, n, weight`` with weight = n · ln(1 + A / total).
 
     ``A`` is the average number of words per topic of the run, rounded down. The
     class-based TF-IDF of a term is this weight over the words in its topic.
+    ``words`` is :func:`topic_words` of the same counts.
     """
     # two steps, so that a run is not gathered before it is one row per topic
-    words = counts.groupBy(*TOPIC).agg(F.sum("n").alias("words"))
+    words = topic_words(counts) if words is None else words
     averages = words.groupBy("run_id").agg(F.floor(F.sum("words") / F.count("*")).alias("average"))
-    totals = corpus_terms(counts).join(broadcast_if_small(averages), "run_id")
-    return counts.join(totals, ["run_id", "term"]).select(
-        *TOPIC, "term", "n", (F.col("n") * F.log1p(F.col("average") / F.col("total"))).alias("weight")
-    )
+    # a term is in few rows of a run, at most one per topic: they meet once and take their sum with them
+    total = F.sum("n").over(Window.partitionBy("run_id", "term"))
+    weighed = counts.withColumn("total", total).join(broadcast_if_small(averages), "run_id")
+    return weighed.select(*TOPIC, "term", "n", (F.col("n") * F.log1p(F.col("average") / F.col("total"))).alias("weight"))
 
 
 def ranked_keywords(counts: DataFrame, top_n: int = KEYWORDS_PER_TOPIC) -> DataFrame:
@@ -56,9 +62,9 @@ def ranked_keywords(counts: DataFrame, top_n: int = KEYWORDS_PER_TOPIC) -> DataF
     count waits until only ``top_n`` rows per topic are left.
     """
     order = Window.partitionBy(*TOPIC).orderBy(F.desc("weight"), F.asc("term"))
-    best = weighted_terms(counts).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_n)
-    sizes = counts.groupBy(*TOPIC).agg(F.sum("n").alias("words"))
-    return best.join(sizes, [*TOPIC]).select(*TOPIC, "term", "rank", (F.col("weight") / F.col("words")).alias("score"))
+    words = topic_words(counts)
+    best = weighted_terms(counts, words).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_n)
+    return best.join(words, [*TOPIC]).select(*TOPIC, "term", "rank", (F.col("weight") / F.col("words")).alias("score"))
 
 
 def topic_keywords(items: DataFrame, top_n: int = KEYWORDS_PER_TOPIC) -> DataFrame:

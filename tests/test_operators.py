@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 from datetime import datetime, timedelta, timezone
@@ -209,6 +210,27 @@ def test_representatives_find_their_texts(spark):
     assert "strategy=broadcast" in plan
 
 
+def test_terms_are_weighed_without_joining_them(spark):
+    rng = random.Random(3)
+    cells = {(run, topic, f"w{rng.randrange(40)}"): rng.randrange(1, 30) for run in ("r", "s", None) for topic in range(5) for _ in range(25)}
+    counts = spark.createDataFrame([(*key, n) for key, n in cells.items()], "run_id string, topic_id int, term string, n long")
+    words, totals = Counter(), Counter()
+    for (run, topic, term), n in cells.items():
+        words[run, topic] += n
+        totals[run, term] += n
+    expected = {}
+    for run, topic in [key for key in words if key[0]]:
+        sizes = [n for (r, _), n in words.items() if r == run]
+        weights = {t: n * math.log1p(sum(sizes) // len(sizes) / totals[r, t]) for (r, k, t), n in cells.items() if (r, k) == (run, topic)}
+        best = sorted(weights, key=lambda t: (-weights[t], t))[:6]
+        expected |= {(run, topic, t): (i + 1, weights[t] / words[run, topic]) for i, t in enumerate(best)}
+    ranked = keywords.ranked_keywords(counts, 6)
+    found = {(r.run_id, r.topic_id, r.term): (r["rank"], pytest.approx(r.score)) for r in ranked.collect()}
+    assert found == expected and ranked.columns == ["run_id", "topic_id", "term", "rank", "score"]
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "term" in line]
+
+
 def test_counts_of_moved_topics_are_those_of_their_items(spark):
     rows = [(0, "ab cd ab", "r"), (1, "cd ef", "r"), (2, "ab", "r"), (2, "gh", "s"), (-1, "ab", "r")]
     found = spark.createDataFrame([(t, x, "", r) for t, x, r in rows], "topic_id int, title string, summary string, run_id string")
